@@ -3,7 +3,8 @@
 A text is canonicalised (compatibility composition, full case folding, white
 space folded to one space), hashed to 128 bits by two seeded xxhash64 values,
 and grouped; inside a bucket of equal hashes the canonical bytes are compared,
-and a bucket that holds different bytes gets a longer digest.  DataFrame
+and a bucket that holds different bytes gets a longer digest.  An edited text
+exists only for a moment; it is compared by its SHA-256 instead of its bytes.  DataFrame
 functions only: the normaliser and the folder are Java library calls.
 """
 
@@ -12,10 +13,16 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidewatch.llm.common import materialise
+
 #: Rows of one id bucket, on average, when each document is paired with its follower.
 BUCKET_ROWS = 2048
 #: Length of the hash that is grouped, in hexadecimal digits.
 WIDE_DIGITS = 32
+#: Runs of what Unicode counts as white space.
+WHITE_SPACE = r"[\s\x{1c}-\x{1f}\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]+"
+#: A side of a join of at most this many bytes is broadcast; a larger one is shuffled.
+BROADCAST_BYTES = 32 << 20
 
 
 def canonical(text: Column) -> Column:
@@ -23,9 +30,13 @@ def canonical(text: Column) -> Column:
     nfkc = lambda c: F.reflect(F.lit("com.ibm.icu.text.Normalizer"), F.lit("compose"), c, F.lit(True))
     fold = lambda c: F.reflect(F.lit("com.ibm.icu.lang.UCharacter"), F.lit("foldCase"), c, F.lit(True))
     text = F.coalesce(text, F.lit(""))
-    plain = ~text.rlike("[^\\x00-\\x7F]")
-    folded = F.when(plain, F.lower(text)).otherwise(nfkc(fold(nfkc(text))))
-    return F.trim(F.regexp_replace(folded, r"[\s\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]+", " "))
+    spaced = text
+    for space in "\t\n\x0b\f\r\x1c\x1d\x1e\x1f":
+        spaced = F.replace(spaced, F.lit(space), F.lit(" "))
+    spaced = F.lower(spaced)
+    ascii_form = F.when(F.contains(spaced, F.lit("  ")), F.regexp_replace(spaced, " {2,}", " ")).otherwise(spaced)
+    wide_form = F.regexp_replace(nfkc(fold(nfkc(text))), WHITE_SPACE, " ")
+    return F.trim(F.when(F.octet_length(text) == F.length(text), ascii_form).otherwise(wide_form))
 
 
 def wide_hash(canon: Column) -> Column:
@@ -52,31 +63,43 @@ def with_follower(docs: DataFrame, carried: list[str]) -> DataFrame:
     dealt = docs.withColumn("_bucket", F.coalesce(bucket, F.lit(-1)))
     inner = Window.partitionBy("_bucket").orderBy(F.col("doc_id").asc_nulls_first(), *[F.col(c).asc_nulls_first() for c in carried])
     row = F.struct(*carried)
-    paired = dealt.withColumns({"_row": F.row_number().over(inner), "_next": F.lead(row).over(inner)})
-    # One id per bucket finds the bucket that follows; texts do not pass here.
+    paired = dealt.withColumn("_next", F.lead(row).over(inner))
+    # Each bucket's first row, found by its id; one short row per bucket finds the bucket that follows.
+    firsts = dealt.groupBy("_bucket").agg(F.min("doc_id").alias("_first"))
     by_bucket = Window.orderBy("_bucket")
-    chain = dealt.select("_bucket").distinct()
     lowest = F.first("_bucket").over(by_bucket)
-    chain = chain.select("_bucket", F.coalesce(F.lead("_bucket").over(by_bucket), lowest).alias("_after"))
-    heads = paired.where(F.col("_row") == 1).select(F.col("_bucket").alias("_after"), row.alias("_head"))
+    chain = firsts.select("_bucket", F.coalesce(F.lead("_bucket").over(by_bucket), lowest).alias("_after"))
+    if buckets * 16 <= BROADCAST_BYTES:
+        firsts = F.broadcast(firsts)
+    heads = (
+        dealt.join(firsts.withColumnRenamed("_bucket", "_b"), (F.col("_bucket") == F.col("_b")) & F.col("doc_id").eqNullSafe(F.col("_first")))
+        .groupBy(F.col("_bucket").alias("_after"))
+        .agg(F.min(row).alias("_head"))
+    )
     heads = chain.join(heads, "_after").select("_bucket", "_head")
     out = paired.join(heads, "_bucket", "left").withColumn("_next", F.coalesce("_next", "_head"))
     return out.select(*docs.columns, *[F.col(f"_next.{c}").alias(f"next_{c}") for c in carried])
 
 
-def mixed_buckets(hashed: DataFrame) -> DataFrame:
+def mixed_buckets(named: DataFrame, texts: DataFrame) -> DataFrame:
     """The wide hashes shared by different bytes, each once.
 
-    ``hashed`` has ``wide`` and ``canon``.  The bytes of a bucket are compared
-    through their smallest and largest value, aggregated before the shuffle:
-    a large group of copies costs one row a task.
+    ``named`` has ``wide`` and ``sha`` for every text that gets a fingerprint;
+    ``texts`` has ``wide`` and ``canon`` for those whose bytes are compared.
+    Only buckets of two or more rows move their bytes: hashes are counted first,
+    and the repeated ones filter the texts, by a broadcast while they are few
+    and by a shuffled join beyond.  A bucket's bytes are compared through their
+    smallest and largest value, aggregated before the shuffle, so a large group
+    of copies costs one row a task.
     """
-    return (
-        hashed.groupBy("wide")
-        .agg(F.min("canon").alias("low"), F.max("canon").alias("high"))
-        .where(F.col("low") != F.col("high"))
-        .select("wide")
-    )
+    counted = named.groupBy("wide").agg(F.count(F.lit(1)).alias("n"), F.min("sha").alias("low"), F.max("sha").alias("high"))
+    counted = counted.where(F.col("n") > 1)
+    repeated = counted.select("wide")
+    if repeated.count() * (WIDE_DIGITS + 32) <= BROADCAST_BYTES:
+        repeated = F.broadcast(repeated)
+    by_bytes = texts.join(repeated, "wide", "left_semi").groupBy("wide").agg(F.min("canon").alias("low"), F.max("canon").alias("high"))
+    differ = F.col("low") != F.col("high")
+    return by_bytes.where(differ).select("wide").union(counted.where(differ).select("wide")).distinct()
 
 
 def _print(wide: Column, sha: Column, mixed: Column) -> Column:
@@ -95,10 +118,9 @@ def fingerprint_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     """
     base = docs.select(F.col(id_col).alias("doc_id"), canonical(F.col(text_col)).alias("canon"))
     base = base.select("doc_id", "canon", wide_hash(F.col("canon")).alias("wide"))
-    mixed = mixed_buckets(base).withColumn("_mixed", F.lit(True))
-    named = base.join(mixed, "wide", "left").select(
-        "doc_id", _print(F.col("wide"), F.sha2("canon", 256), F.col("_mixed")).alias("fingerprint")
-    )
+    named = base.select("doc_id", "wide", F.sha2("canon", 256).alias("sha"))
+    mixed = mixed_buckets(named, base).withColumn("_mixed", F.lit(True))
+    named = named.join(mixed, "wide", "left").select("doc_id", _print(F.col("wide"), F.col("sha"), F.col("_mixed")).alias("fingerprint"))
     counts = named.groupBy("fingerprint").agg(F.count(F.lit(1)).alias("n_copies"))
     return named.join(counts, "fingerprint").select("doc_id", "fingerprint", "n_copies")
 
@@ -124,14 +146,13 @@ def fingerprint_edits(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     paired = paired.withColumn("_cut", cut).withColumn("edited", edited).drop("next_text", "_cut")
     paired = paired.withColumn("e_canon", canonical(F.col("edited")))
     paired = paired.withColumns({"e_wide": wide_hash(F.col("e_canon")), "e_sha": F.sha2("e_canon", 256)})
-    buckets = base.select("wide", canonical(F.col("text")).alias("canon")).unionByName(
-        paired.select(F.col("e_wide").alias("wide"), F.col("e_canon").alias("canon"))
-    )
-    mixed = mixed_buckets(buckets)
     out = paired.select(
         "doc_id", F.length("text").cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"),
         "wide", "sha", "e_wide", "e_sha", "next_wide", "next_sha",
     )
+    out, _ = materialise(out, "fingerprints")
+    named = out.select("wide", "sha").unionByName(out.select(F.col("e_wide").alias("wide"), F.col("e_sha").alias("sha")))
+    mixed = mixed_buckets(named, base.select("wide", canonical(F.col("text")).alias("canon")))
     for name in ("wide", "e_wide", "next_wide"):
         out = out.join(mixed.select(F.col("wide").alias(name), F.lit(True).alias(f"{name}_mixed")), name, "left")
     names = {n: _print(F.col(f"{p}wide"), F.col(f"{p}sha"), F.col(f"{p}wide_mixed")) for n, p in (("fingerprint", ""), ("edited_fingerprint", "e_"), ("next_fingerprint", "next_"))}
