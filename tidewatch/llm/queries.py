@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewatch.llm import fingerprint, url_filter
+from tidewatch.llm import fingerprint, quality_crf, url_filter
 from tidewatch.llm.common import table
 
 URL_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
@@ -21,6 +21,11 @@ def op7_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(table(spark, sf_dir, "pages"), URL_RULES)
 
 
+def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return quality_crf.score_documents(docs, quality_crf.train(docs, table(spark, sf_dir, "labels")))
+
+
 OP7_SQL = r"""
 WITH seen AS (
   SELECT page_id,
@@ -40,6 +45,7 @@ FROM seen s LEFT JOIN fits f ON s.host = f.host AND s.path = f.path AND f.k = 1
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_document_fingerprints": op5_document_fingerprints,
     "op7_url_filters": op7_url_filters,
+    "op10_quality_classifier": op10_quality_classifier,
 }
 
 ORACLE_SQL: dict[str, str] = {"op7_url_filters": OP7_SQL}
