@@ -7,12 +7,20 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewatch.llm import fingerprint, quality_crf, url_filter
+from tidewatch.llm import fingerprint, license_scan, pieces, quality_crf, url_filter
 from tidewatch.llm.common import table
 
 URL_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
 
 
+def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.encode_documents(table(spark, sf_dir, "documents"), pieces.read_model())
+
+
+def op4_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan_licenses(table(spark, sf_dir, "documents"))
+
+
 def op5_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.fingerprint_edits(table(spark, sf_dir, "documents"))
 
@@ -43,6 +51,8 @@ FROM seen s LEFT JOIN fits f ON s.host = f.host AND s.path = f.path AND f.k = 1
 """
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_sentencepiece": op1_sentencepiece,
+    "op4_license_scans": op4_license_scans,
     "op5_document_fingerprints": op5_document_fingerprints,
     "op7_url_filters": op7_url_filters,
     "op10_quality_classifier": op10_quality_classifier,
