@@ -24,8 +24,10 @@ from pyspark.sql import functions as F
 MODEL_PATH = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
 CHUNK_CHARS = 1 << 20
-#: Distinct units whose ids a worker remembers.
-CACHE_UNITS = 300_000
+#: Distinct units whose ids a worker remembers, in each of two generations.
+CACHE_UNITS = 400_000
+#: Transitions that a state remembers beyond its own.
+MAX_STEPS = 2_000
 # Kinds of pieces, and what an unknown character costs beyond the worst piece.
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 UNKNOWN_PENALTY = 10.0
@@ -128,33 +130,57 @@ class Automaton:
                     self.fail[child] = self.go[g].get(c, 0) if node else 0
                     following.append(child)
             level = following
+        #: Transitions and outputs as they are found: a goto table that needs no fail link the second time.
+        self.step: list[dict[str, int]] = [dict(g) for g in self.go]
+        self.outputs: list[tuple] = [()] * len(self.go)
         #: True if no piece holds a space mark behind another character: words are then coded apart.
         self.by_word = all(SPACE not in model.pieces[i].lstrip(SPACE) for i in usable)
+        # A character that no piece holds parts the text as well; only byte pieces keep its neighbours apart.
+        held = set("".join(model.pieces[i] for i in usable)) | {SPACE}
+        loose = "".join(re.escape(chr(c)) for c in range(128) if chr(c) not in held) if model.byte_fallback else ""
+        self.units = re.compile(f"{SPACE}*[^{SPACE}{loose}]+|{SPACE}+" + (f"|[{loose}]+" if loose else ""))
         self.cache: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+
+    def _advance(self, state: int, c: str) -> int:
+        node = state
+        while node and c not in self.go[node]:
+            node = self.fail[node]
+        node = self.go[node].get(c, 0)
+        if len(self.step[state]) < MAX_STEPS:
+            self.step[state][c] = node
+        return node
+
+    def _outputs(self, state: int) -> tuple:
+        """Length, score and id of the pieces that end here, along the output links: the longest first."""
+        found, node = [], state if self.piece[state] >= 0 else self.link[state]
+        while node:
+            found.append((self.depth[node], self.score[node], self.piece[node]))
+            node = self.link[node]
+        self.outputs[state] = tuple(found)
+        return self.outputs[state]
 
     def viterbi(self, text: str) -> list[int]:
         """Ids of the best segmentation of normalised text."""
-        go, fail, link, piece, depth, score = self.go, self.fail, self.link, self.piece, self.depth, self.score
+        outputs, step = self.outputs, self.step
         best, back = [0.0], [(0, -1)]
-        state = 0
-        for end, c in enumerate(text, 1):
-            while state and c not in go[state]:
-                state = fail[state]
-            state = go[state].get(c, 0)
-            top, from_ = float("-inf"), (end - 1, -1)
-            node = state if piece[state] >= 0 else link[state]
-            single = False
-            while node:
-                start = end - depth[node]
-                single = single or start == end - 1
-                value = best[start] + score[node]
+        state = before = end = 0
+        for c in text:
+            end += 1
+            state = step[state].get(c, -1)
+            if state < 0:  # seen for the first time: follow the fail links once
+                state = self._advance(before, c)
+            top, from_, single = float("-inf"), (end - 1, -1), False
+            for length, score, piece in outputs[state] or self._outputs(state):
+                single = length == 1  # the shortest comes last
+                value = best[end - length] + score
                 if value > top:
-                    top, from_ = value, (start, piece[node])
-                node = link[node]
+                    top, from_ = value, (end - length, piece)
             if not single and (value := best[end - 1] + self.unknown_score) > top:
                 top, from_ = value, (end - 1, -1)
             best.append(top)
             back.append(from_)
+            before = state
         ids: list[int] = []
         end, run = len(text), False
         while end:
@@ -182,13 +208,14 @@ class Automaton:
         if not self.by_word:
             return np.array(self.viterbi(marked), np.int32)
         cache, parts = self.cache, []
-        for unit in _UNITS.findall(marked):
+        for unit in self.units.findall(marked):
             got = cache.get(unit)
             if got is None:
-                got = np.array(self.viterbi(unit), np.int32).tobytes()
+                got = self.older.get(unit) or np.array(self.viterbi(unit), np.int32).tobytes()
                 if len(unit) <= 64:
-                    if len(cache) >= CACHE_UNITS:
-                        cache.clear()
+                    if len(cache) >= CACHE_UNITS:  # what is not used again in a generation goes
+                        self.older, self.cache = cache, {}
+                        cache = self.cache
                     cache[unit] = got
             parts.append(got)
         return np.frombuffer(b"".join(parts), np.int32)
@@ -213,7 +240,6 @@ class Automaton:
         return text.removeprefix(" ") if self.model.dummy_prefix else text
 
 
-_UNITS = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
 #: Automata that this worker process has built, by the model's hash.
 _BUILT: dict[int, tuple[Automaton, list[bytes]]] = {}
 
