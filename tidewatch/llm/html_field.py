@@ -172,8 +172,12 @@ class Page:
 
 
 def features(pages: list[Page]) -> dict[str, np.ndarray]:
-    """Unary features of all elements (rows of indices), and the forest that they form."""
-    parent, kind, rows, cols, depth = [], [], [], [], []
+    """Unary features of all elements (row, column, value), and the forest that they form.
+
+    A textual element's features are divided by the number of its siblings, so
+    many short paragraphs together say no more than one long one.
+    """
+    parent, kind, rows, cols, depth, values = [], [], [], [], [], []
     for page in pages:
         base, n = len(parent), len(page.tag)
         own, linked, stops = [0] * n, [0] * n, [0] * n
@@ -187,6 +191,9 @@ def features(pages: list[Page]) -> dict[str, np.ndarray]:
             total[page.parent[i]] += total[i]
             total_links[page.parent[i]] += total_links[i]
         whole = max(1, total[0])
+        siblings = [0] * n
+        for p in page.parent[1:]:
+            siblings[p] += 1
         for i in range(n):
             p = page.parent[i]
             parent.append(base + p if p >= 0 else -1)
@@ -209,7 +216,8 @@ def features(pages: list[Page]) -> dict[str, np.ndarray]:
             at.append(offset + (stops[i] > 0))
             rows += [base + i] * len(at)
             cols += at
-    return {"parent": np.array(parent), "kind": np.array(kind), "depth": np.array(depth), "rows": np.array(rows), "cols": np.array(cols)}
+            values += [1 / siblings[p] if kind[-1] and p >= 0 else 1.0] * len(at)
+    return {"parent": np.array(parent), "kind": np.array(kind), "depth": np.array(depth), "rows": np.array(rows), "cols": np.array(cols), "values": np.array(values)}
 
 
 def sum_product(unary: np.ndarray, tie: np.ndarray, x: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -248,7 +256,7 @@ class TreeField:
 
     def marginals(self, pages: list[Page]) -> list[np.ndarray]:
         x = features(pages)
-        content, _ = sum_product(np.bincount(x["rows"], self.weights[x["cols"]], len(x["parent"])), self.tie, x)
+        content, _ = sum_product(np.bincount(x["rows"], self.weights[x["cols"]] * x["values"], len(x["parent"])), self.tie, x)
         return np.split(content, np.cumsum([len(p.tag) for p in pages])[:-1])
 
     def extract(self, sources: list[str]) -> list[str]:
@@ -266,8 +274,8 @@ def fit(pages: list[Page], labels: list[list[bool]]) -> TreeField:
     gold_pairs[np.flatnonzero(child), gold[x["parent"][child]].astype(int), gold[child].astype(int)] = 1
     state = [np.zeros(N_UNARY + 8), np.zeros(N_UNARY + 8)]
     for step in range(1, STEPS + 1):
-        content, pairs = sum_product(np.bincount(x["rows"], model.weights[x["cols"]], len(gold)), model.tie, x)
-        slope = np.bincount(x["cols"], (gold - content)[x["rows"]], N_UNARY)
+        content, pairs = sum_product(np.bincount(x["rows"], model.weights[x["cols"]] * x["values"], len(gold)), model.tie, x)
+        slope = np.bincount(x["cols"], (gold - content)[x["rows"]] * x["values"], N_UNARY)
         ties = np.stack([(gold_pairs - pairs)[child & (x["kind"] == k)].sum(0) for k in (0, 1)])
         g = np.concatenate([slope, ties.ravel()]) / len(pages) - RIDGE * np.concatenate([model.weights, model.tie.ravel()])
         state[0] = 0.9 * state[0] + 0.1 * g
