@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewatch.llm import fingerprint, html_field, license_scan, pieces, quality_crf, url_filter
+from tidewatch.llm import fingerprint, html_field, license_scan, mixing, pieces, quality_crf, resharding, url_filter
 from tidewatch.llm.common import table
 
 URL_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
@@ -33,6 +33,32 @@ def op7_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(table(spark, sf_dir, "pages"), URL_RULES)
 
 
+MIX_WEIGHTS, MIX_SHARE = [5, 2, 1], 1.5
+
+
+def op8_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mix(table(spark, sf_dir, "documents").select("doc_id", "text", "source"), MIX_WEIGHTS, MIX_SHARE)
+    return mixed.select(
+        "doc_id",
+        F.col("_size").alias("size"),
+        F.col("_source_size").alias("source_size"),
+        F.col("_target").alias("target"),
+        (F.col("_size") * F.col("_copies")).alias("taken"),
+    )
+
+
+OLD_SHARDS, NEW_SHARDS = 16, 24
+
+
+def op9_resharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    old = F.pmod(F.xxhash64(F.coalesce("text", F.lit(""))), F.lit(OLD_SHARDS))
+    placed = resharding.reshard(docs, old, [1] * NEW_SHARDS)
+    return placed.select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "old_shard"
+    )
+
+
 def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return quality_crf.score_documents(docs, quality_crf.train(docs, table(spark, sf_dir, "labels")))
@@ -60,6 +86,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_license_scans": op4_license_scans,
     "op5_document_fingerprints": op5_document_fingerprints,
     "op7_url_filters": op7_url_filters,
+    "op8_source_mixing": op8_source_mixing,
+    "op9_resharding": op9_resharding,
     "op10_quality_classifier": op10_quality_classifier,
 }
 
