@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewatch.llm import fingerprint, html_field, license_scan, mixing, pieces, quality_crf, resharding, url_filter
+from tidewatch.llm import embedding_dedup, fingerprint, html_field, license_scan, mixing, pieces, quality_crf, resharding, url_filter
 from tidewatch.llm.common import table
 
 URL_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
@@ -17,6 +17,10 @@ def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.encode_documents(table(spark, sf_dir, "documents"), pieces.read_model())
 
 
+def op2_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.find_links(table(spark, sf_dir, "embeddings"))
+
+
 def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_field.extract_pages(table(spark, sf_dir, "pages"))
 
@@ -82,6 +86,7 @@ FROM seen s LEFT JOIN fits f ON s.host = f.host AND s.path = f.path AND f.k = 1
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sentencepiece": op1_sentencepiece,
+    "op2_embedding_near_dedup": op2_embedding_near_dedup,
     "op3_html_extraction": op3_html_extraction,
     "op4_license_scans": op4_license_scans,
     "op5_document_fingerprints": op5_document_fingerprints,
