@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewatch.llm import embedding_dedup, fingerprint, html_field, license_scan, mixing, pieces, quality_crf, resharding, url_filter
+from tidewatch.llm import embedding_dedup, fingerprint, html_field, license_scan, mixing, ngram_join, pieces, quality_crf, resharding, url_filter
 from tidewatch.llm.common import table
 
 URL_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
@@ -33,6 +33,10 @@ def op5_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.fingerprint_edits(table(spark, sf_dir, "documents"))
 
 
+def op6_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.join_documents(table(spark, sf_dir, "documents"))
+
+
 def op7_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(table(spark, sf_dir, "pages"), URL_RULES)
 
@@ -90,6 +94,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_html_extraction": op3_html_extraction,
     "op4_license_scans": op4_license_scans,
     "op5_document_fingerprints": op5_document_fingerprints,
+    "op6_ngram_jaccard_join": op6_ngram_jaccard_join,
     "op7_url_filters": op7_url_filters,
     "op8_source_mixing": op8_source_mixing,
     "op9_resharding": op9_resharding,
