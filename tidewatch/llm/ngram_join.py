@@ -32,45 +32,87 @@ WORDS = 5
 #: Two sets link when PERCENT of their union is shared.
 PERCENT = 75
 BITS = 2048
+#: The largest bitmap of a large set.
+WIDEST = 1 << 17
 LEAF, FANOUT = 16, 8
 #: Rows of one tree; the rows of a more frequent shingle are dealt into blocks of half of it.
 TREE_ROWS = 1024
+#: Shared prefix shingles for each thousand of a set that make the first round look at a pair.
+PROMISING = 100
 #: One document in so many tells which shingles are frequent, and how many of those are known at
 #: most.  Frequent shingles come last in the order; any order gives the same result.
 SAMPLE, FREQUENT, KNOWN = 16, 6, 60_000
 #: A side of a join is broadcast up to this many bytes and shuffled beyond.
 BROADCAST_BYTES = 48 << 20
-CHUNK_BYTES = 1 << 20
-CACHE_WORDS = 500_000
+CHUNK_BYTES = 1 << 19
 
 
-class _Hashes(dict):
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= CACHE_WORDS:
-            self.clear()
-        self[word] = h = xxhash.xxh64_intdigest(word)
-        return h
+_SPACE = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
+_BASE = np.uint64(0x9E3779B97F4A7C15)
+_BYTE = np.random.default_rng(20).integers(0, 1 << 63, 256, dtype=np.uint64)
+#: Powers of the base and of its inverse modulo 2^64, as far as a worker has needed them.
+_POWERS = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 
 
-def shingles(text: str | None, cache: dict) -> np.ndarray:
-    """Sorted distinct 64-bit hashes of a text's word shingles.
+def _powers(n: int) -> list[np.ndarray]:
+    if len(_POWERS[0]) < n:
+        n = max(n, 2 * CHUNK_BYTES)
+        for k, base in enumerate((int(_BASE), pow(int(_BASE), -1, 1 << 64))):
+            step = np.full(n, base, np.uint64)
+            step[0] = 1
+            _POWERS[k] = np.multiply.accumulate(step)
+    return _POWERS
+
+
+def _mix(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+    return x ^ (x >> np.uint64(29))
+
+
+def word_hashes(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of the runs of bytes other than white space, and where they start.
+
+    A word's hash is the sum of its bytes' random values times rising powers of
+    a base, read off running sums over all the data.
+    """
+    b = np.frombuffer(data, np.uint8)
+    inside = np.concatenate([[False], ~_SPACE[b], [False]])
+    edges = np.flatnonzero(inside[1:] != inside[:-1])
+    starts, ends = edges[::2], edges[1::2]
+    rise, fall = _powers(len(b) + 1)
+    sums = np.zeros(len(b) + 1, np.uint64)
+    np.cumsum(_BYTE[b] * rise[: len(b)], out=sums[1:])
+    return _mix((sums[ends] - sums[starts]) * fall[starts] + (ends - starts).astype(np.uint64)), starts
+
+
+def shingle_sets(texts: list[str | None]) -> list[np.ndarray]:
+    """Sorted distinct 64-bit hashes of the word shingles of each text.
 
     A-Z is lower-cased; words are runs other than ASCII white space.  Fewer
     than ``WORDS`` words are one shingle, no words none.
     """
-    words = (text or "").encode("utf-8", "surrogatepass").lower().split()
-    if not words:
-        return np.zeros(0, np.uint64)
-    k = min(WORDS, len(words))
-    h = np.fromiter(map(cache.__getitem__, words), np.uint64, len(words))
-    n = len(h) - k + 1
-    out = np.full(n, k, np.uint64)
-    for i in range(k):
-        out = out * np.uint64(0x9E3779B97F4A7C15) + h[i : i + n]
-        out ^= out >> np.uint64(31)
-    out *= np.uint64(0xD6E8FEB86659FD93)
-    out ^= out >> np.uint64(32)
-    return np.unique(out)
+    each = [(t or "").encode("utf-8", "surrogatepass").lower() for t in texts]
+    h, starts = word_hashes(b" ".join(each))
+    first = np.concatenate([[0], np.cumsum([len(x) + 1 for x in each])])
+    bounds = np.searchsorted(starts, first)
+    rolled = np.full(max(0, len(h) - WORDS + 1), WORDS, np.uint64)
+    for i in range(WORDS):
+        rolled = _mix(rolled * _BASE + h[i : i + len(rolled)])
+    out = []
+    for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
+        if b - a >= WORDS:
+            own = np.sort(rolled[a : b - WORDS + 1])
+            keep = np.ones(len(own), bool)
+            np.not_equal(own[1:], own[:-1], out=keep[1:])
+            out.append(own[keep])
+        elif b > a:
+            one = np.full(1, b - a, np.uint64)
+            for x in h[a:b]:
+                one = _mix(one * _BASE + x)
+            out.append(one)
+        else:
+            out.append(np.zeros(0, np.uint64))
+    return out
 
 
 def bitmap(tokens: np.ndarray) -> bytes:
@@ -79,8 +121,30 @@ def bitmap(tokens: np.ndarray) -> bytes:
     return np.packbits(bits).tobytes()
 
 
+def wide_bitmap(tokens: np.ndarray) -> bytes | None:
+    """For a large set, a bitmap of at least four bits a shingle; it folds to any smaller one."""
+    if len(tokens) <= BITS // 4:
+        return None
+    bits = np.zeros(min(WIDEST, 1 << (4 * len(tokens) - 1).bit_length()), bool)
+    bits[(tokens % np.uint64(len(bits))).astype(np.int64)] = True
+    return np.packbits(bits).tobytes()
+
+
+def most_shared(x: bytes, y: bytes, n: int, m: int) -> int:
+    """The largest overlap of two sets of n and m shingles that their wide bitmaps allow."""
+    a, b = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+    size = min(len(a), len(b))
+    a, b = (np.bitwise_or.reduce(v.reshape(-1, size), 0) for v in (a, b))
+    p, q, common = (int(np.bitwise_count(v).sum()) for v in (a, b, a & b))
+    return min(n - p, m - q) + common
+
+
 def prefix(tokens: np.ndarray, frequent: np.ndarray) -> np.ndarray:
-    """The first quarter of a set, frequent shingles last: similar sets share one of these."""
+    """The first quarter of a set, frequent shingles last: similar sets share one of these.
+
+    More exactly, one that lies in the first seventh of the smaller set
+    (:func:`short_prefix`): it must share six sevenths of its own shingles.
+    """
     n = len(tokens)
     length = n - -(-PERCENT * n // 100) + 1 if n else 0
     if len(frequent) and n:
@@ -90,6 +154,10 @@ def prefix(tokens: np.ndarray, frequent: np.ndarray) -> np.ndarray:
     return tokens[:length]
 
 
+def short_prefix(n: int) -> int:
+    return n - -(-2 * PERCENT * n // (100 + PERCENT)) + 1 if n else 0
+
+
 def _slices(batch: pa.RecordBatch, text: int) -> Iterator[pa.RecordBatch]:
     sizes = np.nan_to_num(np.array(pa.compute.binary_length(batch.column(text)).to_numpy(zero_copy_only=False), float))
     ends = (np.cumsum(sizes) // CHUNK_BYTES).astype(int)
@@ -111,19 +179,18 @@ def _node(tokens: np.ndarray) -> int:
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Nodes and whole sets of texts (the only column)."""
-    cache = _Hashes()
     for batch in batches:
         for part in _slices(batch, 0):
-            sets = [shingles(t, cache) for t in part.column(0).to_pylist()]
+            sets = shingle_sets(part.column(0).to_pylist())
             yield pa.RecordBatch.from_arrays([pa.array([_node(x) for x in sets], pa.int64()), _lists(sets)], names=["node", "tokens"])
 
 
 def _signatures(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache, frequent = _Hashes(), shared.value
+        frequent = shared.value
         for batch in batches:
             for part in _slices(batch, 1):
-                sets = [shingles(t, cache) for t in part.column(1).to_pylist()]
+                sets = shingle_sets(part.column(1).to_pylist())
                 yield pa.RecordBatch.from_arrays(
                     [
                         part.column(0),
@@ -131,32 +198,33 @@ def _signatures(shared):
                         pa.array([_node(x) for x in sets], pa.int64()),
                         pa.array([bitmap(x) for x in sets], pa.binary()),
                         _lists([prefix(x, frequent) for x in sets]),
+                        pa.array([short_prefix(len(x)) for x in sets], pa.int32()),
+                        pa.array([wide_bitmap(x) for x in sets], pa.binary()),
                     ],
-                    names=["doc_id", "n", "node", "bits", "prefix"],
+                    names=["doc_id", "n", "node", "bits", "prefix", "short", "wide"],
                 )
 
     return run
 
 
 class SignatureTree:
-    """A packed tree over sets ordered by size; levels[0] are the sets, the last is the root."""
+    """A packed tree over sets; levels[0] are the sets, the last is the root.
 
-    def __init__(self, bits: np.ndarray, sizes: np.ndarray, groups: np.ndarray):
+    Each node holds the OR of the bitmaps below it, the range of sizes and of
+    components, and which of the task's shared shingles lie in the prefixes
+    (``probe``) and in the shorter prefixes (``index``) below it.
+    """
+
+    def __init__(self, bits: np.ndarray, sizes: np.ndarray, groups: np.ndarray, index: np.ndarray | None = None, probe: np.ndarray | None = None):
         own = np.bitwise_count(bits).sum(1).astype(np.int64)
-        level = {"bits": bits, "low": sizes, "high": sizes, "slack": sizes - own, "first": groups, "last": groups}
+        all_ = np.full((len(sizes), 1), ~np.uint64(0))
+        level = {"bits": bits, "low": sizes, "high": sizes, "slack": sizes - own, "first": groups, "last": groups, "index": all_ if index is None else index, "probe": all_ if probe is None else probe}
         self.levels = [level]
         fan = LEAF
+        how = {"bits": np.bitwise_or, "low": np.minimum, "high": np.maximum, "slack": np.maximum, "first": np.minimum, "last": np.maximum, "index": np.bitwise_or, "probe": np.bitwise_or}
         while len(level["low"]) > 1:
             at = np.arange(0, len(level["low"]), fan)
-            level = {
-                "bits": np.bitwise_or.reduceat(level["bits"], at, 0),
-                "low": np.minimum.reduceat(level["low"], at),
-                "high": np.maximum.reduceat(level["high"], at),
-                "slack": np.maximum.reduceat(level["slack"], at),
-                "first": np.minimum.reduceat(level["first"], at),
-                "last": np.maximum.reduceat(level["last"], at),
-                "fan": fan,
-            }
+            level = {k: f.reduceat(level[k], at, 0) for k, f in how.items()} | {"fan": fan}
             self.levels.append(level)
             fan = FANOUT
 
@@ -164,19 +232,25 @@ class SignatureTree:
 def _may_link(x: dict, i: np.ndarray, y: dict, j: np.ndarray) -> np.ndarray:
     """False for pairs that cannot hold a link between two components.
 
+    Sizes must be in proportion; the smaller set's short prefix must meet the
+    larger one's prefix; and one component on both sides needs no more links.
     A bit of one bitmap that the other lacks is a shingle that is not shared,
     so the overlap is at most the common bits and the shingles whose bits
-    collide.  Sizes must be in proportion, and one component on both sides
-    needs no more links.
+    collide.
     """
     fits = (100 * x["high"][i] >= PERCENT * y["low"][j]) & (100 * y["high"][j] >= PERCENT * x["low"][i])
     fits &= ~((x["first"][i] == x["last"][i]) & (y["first"][j] == y["last"][j]) & (x["first"][i] == y["first"][j]))
     at = np.flatnonzero(fits)
     for a in range(0, len(at), 1 << 14):
         part = at[a : a + (1 << 14)]
-        common = np.bitwise_count(x["bits"][i[part]] & y["bits"][j[part]]).sum(1).astype(np.int64)
-        most = np.minimum(x["slack"][i[part]], y["slack"][j[part]]) + common
-        fits[part] = (100 + PERCENT) * most >= PERCENT * (x["low"][i[part]] + y["low"][j[part]])
+        p, q = i[part], j[part]
+        met = (x["index"][p] & y["probe"][q]).any(1) & (x["low"][p] <= y["high"][q])
+        met |= (x["probe"][p] & y["index"][q]).any(1) & (y["low"][q] <= x["high"][p])
+        p, q = p[met], q[met]
+        common = np.bitwise_count(x["bits"][p] & y["bits"][q]).sum(1).astype(np.int64)
+        most = np.minimum(x["slack"][p], y["slack"][q]) + common
+        fits[part] = False
+        fits[part[met]] = (100 + PERCENT) * most >= PERCENT * (x["low"][p] + y["low"][q])
     return fits
 
 
@@ -213,34 +287,62 @@ def _children(tree: SignatureTree, level: int, nodes: np.ndarray, others: np.nda
 def _join_tree(best_only: bool):
     """The function of one task: pairs that may link, all of them or the most promising of each two components."""
 
-    def tree(pdf: pd.DataFrame) -> SignatureTree:
-        bits = np.frombuffer(b"".join(pdf["bits"]), np.uint64).reshape(len(pdf), -1)
-        return SignatureTree(bits, pdf["n"].to_numpy(np.int64), pdf["component"].to_numpy(np.int64))
+    def tree(held: pd.DataFrame, tokens: np.ndarray) -> tuple[SignatureTree, pd.DataFrame]:
+        # Sets that share a shingle stand near each other.
+        rows = held.sort_values(["token", "n", "node"]).drop_duplicates("node")
+        nodes = rows["node"].to_numpy()
+        order = np.argsort(nodes)
+        at = order[np.searchsorted(nodes[order], held["node"].to_numpy())]
+        column = np.searchsorted(tokens, held["token"].to_numpy())
+        seen = [np.zeros((len(nodes), -(-len(tokens) // 64) * 64), bool) for _ in range(2)]
+        seen[1][at, column] = True
+        short = held["short"].to_numpy(bool)
+        seen[0][at[short], column[short]] = True
+        index, probe = (np.packbits(x, 1).view(np.uint64) for x in seen)
+        bits = np.frombuffer(b"".join(rows["bits"]), np.uint64).reshape(len(rows), -1)
+        return SignatureTree(bits, rows["n"].to_numpy(np.int64), rows["component"].to_numpy(np.int64), index, probe), rows
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.drop_duplicates(["side", "node"]).sort_values(["side", "n", "node"])
+        tokens = np.unique(pdf["token"].to_numpy())
         left, right = pdf[pdf["side"] == 0], pdf[pdf["side"] == 1]
         if pdf["same"].iloc[0]:
-            right = left
-            x = y = tree(left)
+            x, left = y, right = tree(left, tokens)
             i, j = dual_traversal(x)
         elif len(left) and len(right):
-            x, y = tree(left), tree(right)
+            (x, left), (y, right) = tree(left, tokens), tree(right, tokens)
             i, j = dual_traversal(x, y)
         else:
             i = j = np.zeros(0, np.int64)
-        out = pd.DataFrame({"a": left["node"].to_numpy()[i], "b": right["node"].to_numpy()[j]})
+        ca, cb = left["component"].to_numpy()[i], right["component"].to_numpy()[j]
+        out = pd.DataFrame({"a": left["node"].to_numpy()[i], "b": right["node"].to_numpy()[j], "p": np.minimum(ca, cb), "q": np.maximum(ca, cb)})
+        out["more"] = False
         if best_only and len(out):
             common = np.bitwise_count(x.levels[0]["bits"][i] & y.levels[0]["bits"][j]).sum(1)
-            ca, cb = left["component"].to_numpy()[i], right["component"].to_numpy()[j]
-            out["p"], out["q"], out["rank"] = np.minimum(ca, cb), np.maximum(ca, cb), -common.astype(float) / (x.levels[0]["low"][i] + y.levels[0]["low"][j])
-            out = out.sort_values(["rank", "a", "b"]).drop_duplicates(["p", "q"])[["a", "b"]]
+            out["rank"] = -common.astype(float) / (x.levels[0]["low"][i] + y.levels[0]["low"][j])
+            out["more"] = out.duplicated(["p", "q"], keep=False)
+            out = out.sort_values(["rank", "a", "b"]).drop_duplicates(["p", "q"])
         low, high = out[["a", "b"]].min(axis=1), out[["a", "b"]].max(axis=1)
-        return pd.DataFrame({"a": low.astype("int64"), "b": high.astype("int64")})
+        return out.assign(a=low, b=high)[["a", "b", "p", "q", "more"]].astype({"a": "int64", "b": "int64", "p": "int64", "q": "int64"})
 
     return run
 
 
+def _plausible(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """The pairs that the wide bitmaps of large sets do not rule out; pairs with a small set pass."""
+
+    def check(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            keep = [
+                x is None or y is None or (100 + PERCENT) * most_shared(x, y, n, m) >= PERCENT * (n + m)
+                for x, y, n, m in zip(batch["x"], batch["y"], batch["n"], batch["m"], strict=True)
+            ]
+            yield batch.loc[keep, ["a", "b"]]
+
+    a = nodes.select(F.col("node").alias("a"), "n", F.col("wide").alias("x"))
+    b = nodes.select(F.col("node").alias("b"), F.col("n").alias("m"), F.col("wide").alias("y"))
+    return pairs.select("a", "b").distinct().join(a, "a").join(b, "b").mapInPandas(check, "a long, b long")
+
+
 def _small(df: DataFrame, bytes_a_row: int) -> DataFrame:
     """Broadcast what is small enough; ``df`` is a written table, so counting is cheap."""
     return F.broadcast(df) if df.count() * bytes_a_row <= BROADCAST_BYTES else df
@@ -255,13 +357,26 @@ def _frequent(texts: DataFrame) -> np.ndarray:
     return np.sort(found.view(np.uint64))
 
 
-def _verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs whose whole sets are similar enough."""
+def _verify(pairs: DataFrame, texts: DataFrame) -> DataFrame | None:
+    """The pairs whose whole sets are similar enough, written to a table; None if there are no pairs.
+
+    The sets are built again from the texts, for the nodes of the pairs only.
+    """
+    pairs, pairs_path = materialise(pairs, "plausible")
+    if pairs.isEmpty():
+        return None
+    involved, involved_path = materialise(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct(), "involved")
+    sets = texts.select("text").mapInArrow(_sets, "node long, tokens array<long>").join(_small(involved, 24), "node", "left_semi")
+    sets, sets_path = materialise(sets.groupBy("node").agg(F.first("tokens").alias("tokens")), "sets")
     a = sets.select(F.col("node").alias("a"), F.col("tokens").alias("x"))
     b = sets.select(F.col("node").alias("b"), F.col("tokens").alias("y"))
     both = pairs.join(a, "a").join(b, "b")
     both = both.withColumn("shared", F.size(F.array_intersect("x", "y")))
-    return both.where(F.lit(100) * F.col("shared") >= F.lit(PERCENT) * (F.size("x") + F.size("y") - F.col("shared"))).select("a", "b")
+    similar = both.where(F.lit(100) * F.col("shared") >= F.lit(PERCENT) * (F.size("x") + F.size("y") - F.col("shared"))).select("a", "b")
+    links, _ = materialise(similar, "links")
+    for path in (involved_path, sets_path, pairs_path):
+        drop(pairs.sparkSession, path)
+    return links
 
 
 def _apart(rows: DataFrame, component: DataFrame | None) -> DataFrame:
@@ -270,12 +385,12 @@ def _apart(rows: DataFrame, component: DataFrame | None) -> DataFrame:
         named = rows.withColumn("component", F.col("node"))
     else:
         named = rows.join(component, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    named = named.select("token", "node", "component")
+    named = named.select("token", "node", "short", "component")
     multi = named.groupBy("token").agg(F.min("component").alias("p"), F.max("component").alias("q"), F.count(F.lit(1)).alias("rows"))
     return named.join(multi.where("p < q").select("token", "rows"), "token")
 
 
-def _tree_pairs(apart: DataFrame, nodes: DataFrame, best_only: bool) -> DataFrame:
+def _tree_pairs(apart: DataFrame, nodes: DataFrame, best_only: bool) -> tuple[DataFrame, str]:
     """Candidates of all shingles, tree by tree."""
     apart, path = materialise(apart, "apart")
     total = apart.count()
@@ -288,12 +403,12 @@ def _tree_pairs(apart: DataFrame, nodes: DataFrame, best_only: bool) -> DataFram
         F.sequence(F.lit(0), F.col("blocks") - 1),
         lambda k: F.struct(F.least("block", k).alias("i"), F.greatest("block", k).alias("j"), (F.col("block") > k).cast("int").alias("side"), (F.col("block") == k).alias("same")),
     )
-    placed = dealt.withColumn("tree", own).withColumn("pair", F.explode(spread)).select("tree", (F.col("blocks") > 1).alias("hot"), "node", "component", "pair.*").distinct()
-    placed = placed.join(nodes, "node")
-    pairs = placed.groupBy("hot", "tree", "i", "j").applyInPandas(_join_tree(best_only), "a long, b long").distinct()
-    pairs, _ = materialise(pairs, "pairs")
+    placed = dealt.withColumn("tree", own).withColumn("pair", F.explode(spread)).select("tree", (F.col("blocks") > 1).alias("hot"), "token", "node", "short", "component", "pair.*")
+    placed = placed.join(nodes.select("node", "n", "bits"), "node")
+    pairs = placed.groupBy("hot", "tree", "i", "j").applyInPandas(_join_tree(best_only), "a long, b long, p long, q long, more boolean")
+    found = materialise(pairs, "pairs")
     drop(apart.sparkSession, path)
-    return pairs
+    return found
 
 
 def join_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -310,34 +425,55 @@ def join_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     spark = docs.sparkSession
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     shared = spark.sparkContext.broadcast(_frequent(texts))
-    signed = texts.mapInArrow(_signatures(shared), "doc_id long, n long, node long, bits binary, prefix array<long>")
+    signed = texts.mapInArrow(_signatures(shared), "doc_id long, n long, node long, bits binary, prefix array<long>, short int, wide binary")
     signed, _ = materialise(signed, "signatures")
     filled = signed.where("n > 0")
 
-    tokens = filled.select(F.explode("prefix").alias("token"), "node")
-    common = tokens.groupBy("token").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low < high").select("token", "low")
+    tokens = filled.select(F.posexplode("prefix").alias("at", "token"), "node", "short").select("token", "node", (F.col("at") < F.col("short")).alias("short"))
+    common = tokens.groupBy("token").agg(F.min("node").alias("low"), F.max("node").alias("high"), F.max("short").alias("any")).where("low < high AND any").select("token", "low")
     common, common_path = materialise(common, "common")
-    rows, rows_path = materialise(tokens.join(_small(common, 40), "token").distinct(), "rows")
+    rows = tokens.join(_small(common, 40), "token").groupBy("token", "node", "low").agg(F.max("short").alias("short"))
+    rows, rows_path = materialise(rows, "rows")
     drop(spark, common_path)
-    involved, involved_path = materialise(rows.select("node").distinct(), "involved")
-    of_involved = _small(involved, 24)
-    nodes = filled.join(of_involved, "node", "left_semi").groupBy("node").agg(F.first("n").alias("n"), F.first("bits").alias("bits"))
-    nodes, nodes_path = materialise(nodes, "nodes")
-    sets = texts.select("text").mapInArrow(_sets, "node long, tokens array<long>").join(of_involved, "node", "left_semi")
-    sets, sets_path = materialise(sets.groupBy("node").agg(F.first("tokens").alias("tokens")), "sets")
+    nodes = filled.join(_small(materialise(rows.select("node").distinct(), "involved")[0], 24), "node", "left_semi")
+    nodes, nodes_path = materialise(nodes.groupBy("node").agg(F.first("n").alias("n"), F.first("bits").alias("bits"), F.first("wide").alias("wide")), "nodes")
 
-    # First round: each node with the lowest node of most of its shared shingles.
+    # First round: each node with the lowest node of most of its shared shingles, if those are many.
     votes = rows.where("node > low").groupBy("node", "low").agg(F.count(F.lit(1)).alias("c"))
-    pairs = votes.groupBy("node").agg(F.max(F.struct("c", "low")).alias("best")).select(F.col("node").alias("a"), F.col("best.low").alias("b"))
-    links, _ = materialise(_verify(pairs, sets), "links")
+    votes = votes.groupBy("node").agg(F.max(F.struct("c", "low")).alias("best"))
+    votes = votes.join(nodes.select("node", "n"), "node").where(F.col("best.c") * 1000 >= PROMISING * F.col("n"))
+    pairs = votes.select(F.col("node").alias("a"), F.col("best.low").alias("b"))
+    links = _verify(_plausible(pairs, nodes), texts)
+    links = spark.createDataFrame([], "a long, b long") if links is None else links
     component, _ = materialise(connected_components(links, "cc"), "component")
-    # Then the most promising pair of each two components that share a shingle, then all pairs.
-    for best_only in (True, False):
-        pairs = _tree_pairs(_apart(rows.select("token", "node"), component), nodes, best_only)
-        more, _ = materialise(_verify(pairs, sets), "links")
+    # Then, of each two components that share a shingle in a tree, the most promising pair.
+    rows = rows.select("token", "node", "short")
+    pairs, path = _tree_pairs(_apart(rows, component), nodes, best_only=True)
+    before = component
+    more = _verify(_plausible(pairs, nodes), texts)
+    if more is not None:
         links = links.unionByName(more)
         component, _ = materialise(connected_components(links, "cc"), "component")
-    for path in (rows_path, involved_path, nodes_path, sets_path):
+    # Last, all pairs of those components that had others and are still apart.
+    now = component.select(F.col("node").alias("c"), F.col("component").alias("now"))
+    unsettled = pairs.where("more").select("p", "q").distinct()
+    for c in ("p", "q"):
+        unsettled = unsettled.join(now.select(F.col("c").alias(c), F.col("now").alias(f"{c}_now")), c, "left").withColumn(f"{c}_now", F.coalesce(f"{c}_now", c))
+    unsettled = unsettled.where("p_now <> q_now")
+    open_, open_path = materialise(unsettled.select(F.col("p").alias("old")).union(unsettled.select("q")).distinct(), "unsettled")
+    if not open_.isEmpty():
+        named = rows.join(before, "node", "left").withColumn("old", F.coalesce("component", "node"))
+        left = named.join(_small(open_, 24), "old", "left_semi").select("token", "node", "short")
+        others, others_path = _tree_pairs(_apart(left, component), nodes, best_only=False)
+        others = others.select("a", "b").distinct().join(pairs.select("a", "b").distinct(), ["a", "b"], "left_anti")
+        more = _verify(_plausible(others, nodes), texts)
+        if more is not None:
+            links = links.unionByName(more)
+            component, _ = materialise(connected_components(links, "cc"), "component")
+        drop(spark, others_path)
+    drop(spark, path)
+    drop(spark, open_path)
+    for path in (rows_path, nodes_path):
         drop(spark, path)
 
     named = signed.select("doc_id", "n", "node").join(component, "node", "left").withColumn("component", F.coalesce("component", "node"))
