@@ -1,13 +1,66 @@
-"""The corpus pipeline: quality, near-duplicates, source mix, token ids."""
+"""The corpus pipeline: quality filter, near-duplicate removal, source mix, token ids.
+
+Each stage takes (spark, docs, sf_dir) and works on all that its predecessor
+kept; all but the last return the columns of ``documents``.
+"""
 
 from __future__ import annotations
 
-STAGES = []
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tidewatch.llm import mixing, ngram_join, pieces, quality_crf
+from tidewatch.llm.common import materialise, table
+from tidewatch.llm.queries import MIX_SHARE, MIX_WEIGHTS
+
+COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+
+
+def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drop the documents that the line field rejects (score below one half)."""
+    model = quality_crf.train(docs, table(spark, sf_dir, "labels"))
+    score = quality_crf.scorer(model)
+    return docs.select(*COLUMNS).withColumn("_score", score(F.col("text"))).where(F.col("_score") >= 0.5).drop("_score")
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keep one document of each group of near-duplicates: the one of smallest id.
+
+    Documents without an id stay; of rows with one id, all or none stay.
+    """
+    joined = ngram_join.join_documents(docs)
+    gone = joined.where(F.col("doc_id") != F.col("component_id")).select("doc_id").distinct()
+    return docs.select(*COLUMNS).join(gone, "doc_id", "left_anti").select(*COLUMNS)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Take each document as often as the mix of sources says, none to twice."""
+    return mixing.repeat(mixing.mix(docs.select(*COLUMNS), MIX_WEIGHTS, MIX_SHARE)).select(*COLUMNS)
+
+
+def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Piece ids of every document of the mix, once for each time it is taken."""
+    return pieces.encode_documents(docs, pieces.read_model())
+
+
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+STAGES: list[tuple[str, Stage]] = [
+    ("quality classifier", keep_quality),
+    ("n-gram Jaccard join", drop_near_duplicates),
+    ("mixing sources to target weights", mix_sources),
+    ("SentencePiece encoding and decoding", encode_pieces),
+]
+#: SQL expresses no stage; the pipeline is tested against plain Python.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over ``documents``; each one's result is written and read again."""
+    docs = table(spark, sf_dir, "documents")
+    for k, (_, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
+        if k < len(STAGES) - 1:
+            docs, _ = materialise(docs, f"stage{k}")
     return docs
