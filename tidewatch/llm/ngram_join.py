@@ -10,8 +10,8 @@ drops pairs of tree nodes whose largest possible overlap is too small.  What is
 left is verified on the whole sets.
 
 Only connected components are wanted, so pairs inside one component are never
-looked at again: a first round links every node with the node that it shares
-most prefix shingles with, and later rounds join only what is still apart.
+looked at again: a first round links every node with the hub of most of its
+shared prefix shingles, and later rounds join only what is still apart.
 """
 
 from __future__ import annotations
@@ -39,6 +39,8 @@ LEAF, FANOUT = 16, 8
 TREE_ROWS = 1024
 #: Shared prefix shingles for each thousand of a set that make the first round look at a pair.
 PROMISING = 100
+#: Which pairs a task returns.
+OF_ONE, OF_TWO, ALL = "one", "two", "all"
 #: One document in so many tells which shingles are frequent, and how many of those are known at
 #: most.  Frequent shingles come last in the order; any order gives the same result.
 SAMPLE, FREQUENT, KNOWN = 16, 6, 60_000
@@ -139,6 +141,10 @@ def most_shared(x: bytes, y: bytes, n: int, m: int) -> int:
     return min(n - p, m - q) + common
 
 
+def _fits(x: bytes | None, y: bytes | None, n: int, m: int) -> bool:
+    return x is None or y is None or (100 + PERCENT) * most_shared(x, y, n, m) >= PERCENT * (n + m)
+
+
 def prefix(tokens: np.ndarray, frequent: np.ndarray) -> np.ndarray:
     """The first quarter of a set, frequent shingles last: similar sets share one of these.
 
@@ -284,43 +290,56 @@ def _children(tree: SignatureTree, level: int, nodes: np.ndarray, others: np.nda
     return down[down < below], across[down < below]
 
 
-def _join_tree(best_only: bool):
-    """The function of one task: pairs that may link, all of them or the most promising of each two components."""
+def _join_tree(keep_pairs: str):
+    """The function of one task: pairs that may link.
 
-    def tree(held: pd.DataFrame, tokens: np.ndarray) -> tuple[SignatureTree, pd.DataFrame]:
-        # Sets that share a shingle stand near each other.
-        rows = held.sort_values(["token", "n", "node"]).drop_duplicates("node")
-        nodes = rows["node"].to_numpy()
-        order = np.argsort(nodes)
-        at = order[np.searchsorted(nodes[order], held["node"].to_numpy())]
-        column = np.searchsorted(tokens, held["token"].to_numpy())
-        seen = [np.zeros((len(nodes), -(-len(tokens) // 64) * 64), bool) for _ in range(2)]
+    All of them, or the most promising ones of each component or of each two
+    components; ``more`` marks two components that had others.
+    """
+
+    def tree(rows: pd.DataFrame, tokens: np.ndarray) -> SignatureTree:
+        counts = rows["tokens"].map(len).to_numpy()
+        at = np.repeat(np.arange(len(rows)), counts)
+        column = np.searchsorted(tokens, np.concatenate(rows["tokens"].tolist()))
+        seen = [np.zeros((len(rows), -(-len(tokens) // 64) * 64), bool) for _ in range(2)]
         seen[1][at, column] = True
-        short = held["short"].to_numpy(bool)
+        short = np.concatenate(rows["short"].tolist()).astype(bool)
         seen[0][at[short], column[short]] = True
         index, probe = (np.packbits(x, 1).view(np.uint64) for x in seen)
         bits = np.frombuffer(b"".join(rows["bits"]), np.uint64).reshape(len(rows), -1)
-        return SignatureTree(bits, rows["n"].to_numpy(np.int64), rows["component"].to_numpy(np.int64), index, probe), rows
+        return SignatureTree(bits, rows["n"].to_numpy(np.int64), rows["component"].to_numpy(np.int64), index, probe)
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        tokens = np.unique(pdf["token"].to_numpy())
+        tokens = np.unique(np.concatenate(pdf["tokens"].tolist()))
+        # Sets that share a shingle stand near each other.
+        pdf = pdf.assign(key=pdf["tokens"].map(min)).sort_values(["key", "n", "node"])
         left, right = pdf[pdf["side"] == 0], pdf[pdf["side"] == 1]
         if pdf["same"].iloc[0]:
-            x, left = y, right = tree(left, tokens)
+            x = y = tree(left, tokens)
+            right = left
             i, j = dual_traversal(x)
         elif len(left) and len(right):
-            (x, left), (y, right) = tree(left, tokens), tree(right, tokens)
+            x, y = tree(left, tokens), tree(right, tokens)
             i, j = dual_traversal(x, y)
         else:
             i = j = np.zeros(0, np.int64)
+        u, v, n, m = left["wide"].tolist(), right["wide"].tolist(), left["n"].tolist(), right["n"].tolist()
+        keep = [_fits(u[a], v[b], n[a], m[b]) for a, b in zip(i.tolist(), j.tolist(), strict=True)]
+        i, j = i[keep], j[keep]
         ca, cb = left["component"].to_numpy()[i], right["component"].to_numpy()[j]
         out = pd.DataFrame({"a": left["node"].to_numpy()[i], "b": right["node"].to_numpy()[j], "p": np.minimum(ca, cb), "q": np.maximum(ca, cb)})
         out["more"] = False
-        if best_only and len(out):
+        if keep_pairs != ALL and len(out):
             common = np.bitwise_count(x.levels[0]["bits"][i] & y.levels[0]["bits"][j]).sum(1)
             out["rank"] = -common.astype(float) / (x.levels[0]["low"][i] + y.levels[0]["low"][j])
-            out["more"] = out.duplicated(["p", "q"], keep=False)
-            out = out.sort_values(["rank", "a", "b"]).drop_duplicates(["p", "q"])
+            out = out.sort_values(["rank", "a", "b"], ignore_index=True)
+            if keep_pairs == OF_TWO:
+                out["more"] = out.duplicated(["p", "q"], keep=False)
+                out = out.drop_duplicates(["p", "q"])
+            else:
+                ends = pd.concat([out["p"], out["q"]]).sort_index(kind="stable")
+                first = ends[~ends.reset_index(drop=True).duplicated().to_numpy()]
+                out = out.loc[first.index.unique()]
         low, high = out[["a", "b"]].min(axis=1), out[["a", "b"]].max(axis=1)
         return out.assign(a=low, b=high)[["a", "b", "p", "q", "more"]].astype({"a": "int64", "b": "int64", "p": "int64", "q": "int64"})
 
@@ -332,10 +351,7 @@ def _plausible(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
 
     def check(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            keep = [
-                x is None or y is None or (100 + PERCENT) * most_shared(x, y, n, m) >= PERCENT * (n + m)
-                for x, y, n, m in zip(batch["x"], batch["y"], batch["n"], batch["m"], strict=True)
-            ]
+            keep = [_fits(x, y, n, m) for x, y, n, m in zip(batch["x"], batch["y"], batch["n"], batch["m"], strict=True)]
             yield batch.loc[keep, ["a", "b"]]
 
     a = nodes.select(F.col("node").alias("a"), "n", F.col("wide").alias("x"))
@@ -379,33 +395,52 @@ def _verify(pairs: DataFrame, texts: DataFrame) -> DataFrame | None:
     return links
 
 
+def _merge(component: DataFrame, links: DataFrame) -> DataFrame:
+    """The components after more links: only the links between components are followed."""
+    of = component.select(F.col("node").alias("x"), F.col("component").alias("y"))
+    for c in ("a", "b"):
+        links = links.join(of.withColumnsRenamed({"x": c, "y": f"{c}_of"}), c, "left").withColumn(f"{c}_of", F.coalesce(f"{c}_of", c))
+    joined = connected_components(links.select(F.col("a_of").alias("a"), F.col("b_of").alias("b")), "cc")
+    joined = joined.select(F.col("node").alias("was"), F.col("component").alias("now"))
+    new = joined.join(component, F.col("was") == F.col("node"), "left_anti").select(F.col("was").alias("node"), F.col("was").alias("component"))
+    every = component.unionByName(new).join(joined, F.col("component") == F.col("was"), "left")
+    return materialise(every.select("node", F.coalesce("now", "component").alias("component")), "component")[0]
+
+
 def _apart(rows: DataFrame, component: DataFrame | None) -> DataFrame:
     """The rows of shingles that more than one component shares, with the shingle's number of rows."""
     if component is None:
         named = rows.withColumn("component", F.col("node"))
     else:
         named = rows.join(component, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    named = named.select("token", "node", "short", "component")
+    named = named.select("token", "hub", "node", "short", "component")
     multi = named.groupBy("token").agg(F.min("component").alias("p"), F.max("component").alias("q"), F.count(F.lit(1)).alias("rows"))
     return named.join(multi.where("p < q").select("token", "rows"), "token")
 
 
-def _tree_pairs(apart: DataFrame, nodes: DataFrame, best_only: bool) -> tuple[DataFrame, str]:
+def _tree_pairs(apart: DataFrame, nodes: DataFrame, keep_pairs: str) -> tuple[DataFrame, str]:
     """Candidates of all shingles, tree by tree."""
     apart, path = materialise(apart, "apart")
     total = apart.count()
     trees = max(1, -(-total // TREE_ROWS))
     blocks = F.when(F.col("rows") > TREE_ROWS, F.ceil(F.col("rows") / F.lit(TREE_ROWS // 2))).otherwise(F.lit(1)).cast("int")
     dealt = apart.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64(F.lit(23), "node"), F.col("blocks")).cast("int"))
-    # Frequent shingles have trees of their own, one for each two blocks; the others share trees.
-    own = F.when(F.col("blocks") > 1, F.col("token")).otherwise(F.pmod(F.xxhash64("token"), F.lit(trees)))
+    # Frequent shingles have trees of their own, one for each two blocks.  The others share trees:
+    # those of one hub, often one passage, stay together while they are few.
+    of_hub = apart.where(F.col("rows") <= TREE_ROWS).groupBy("hub").agg(F.count(F.lit(1)).alias("of_hub"))
+    dealt = dealt.join(of_hub, "hub", "left")
+    shared = F.when(F.col("of_hub") <= 4 * TREE_ROWS, F.xxhash64("hub")).otherwise(F.xxhash64("token"))
+    own = F.when(F.col("blocks") > 1, F.col("token")).otherwise(F.pmod(shared, F.lit(trees)))
     spread = F.transform(
         F.sequence(F.lit(0), F.col("blocks") - 1),
         lambda k: F.struct(F.least("block", k).alias("i"), F.greatest("block", k).alias("j"), (F.col("block") > k).cast("int").alias("side"), (F.col("block") == k).alias("same")),
     )
     placed = dealt.withColumn("tree", own).withColumn("pair", F.explode(spread)).select("tree", (F.col("blocks") > 1).alias("hot"), "token", "node", "short", "component", "pair.*")
-    placed = placed.join(nodes.select("node", "n", "bits"), "node")
-    pairs = placed.groupBy("hot", "tree", "i", "j").applyInPandas(_join_tree(best_only), "a long, b long, p long, q long, more boolean")
+    # One row for each set of a tree; the list holds prefix shingles of one set.
+    placed = placed.groupBy("hot", "tree", "i", "j", "side", "same", "node", "component").agg(F.collect_list(F.struct("token", "short")).alias("held"))
+    placed = placed.select("hot", "tree", "i", "j", "side", "same", "node", "component", F.col("held.token").alias("tokens"), F.col("held.short").alias("short"))
+    placed = placed.join(nodes, "node")
+    pairs = placed.groupBy("hot", "tree", "i", "j").applyInPandas(_join_tree(keep_pairs), "a long, b long, p long, q long, more boolean")
     found = materialise(pairs, "pairs")
     drop(apart.sparkSession, path)
     return found
@@ -430,30 +465,37 @@ def join_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     filled = signed.where("n > 0")
 
     tokens = filled.select(F.posexplode("prefix").alias("at", "token"), "node", "short").select("token", "node", (F.col("at") < F.col("short")).alias("short"))
-    common = tokens.groupBy("token").agg(F.min("node").alias("low"), F.max("node").alias("high"), F.max("short").alias("any")).where("low < high AND any").select("token", "low")
+    common = tokens.groupBy("token").agg(F.min("node").alias("low"), F.max("node").alias("high"), F.max("short").alias("any")).where("low < high AND any").select("token")
     common, common_path = materialise(common, "common")
-    rows = tokens.join(_small(common, 40), "token").groupBy("token", "node", "low").agg(F.max("short").alias("short"))
-    rows, rows_path = materialise(rows, "rows")
+    rows = tokens.join(_small(common, 32), "token").groupBy("token", "node").agg(F.max("short").alias("short"))
+    found, found_path = materialise(rows, "rows")
     drop(spark, common_path)
-    nodes = filled.join(_small(materialise(rows.select("node").distinct(), "involved")[0], 24), "node", "left_semi")
+    nodes = filled.join(_small(materialise(found.select("node").distinct(), "involved")[0], 24), "node", "left_semi")
     nodes, nodes_path = materialise(nodes.groupBy("node").agg(F.first("n").alias("n"), F.first("bits").alias("bits"), F.first("wide").alias("wide")), "nodes")
-
-    # First round: each node with the lowest node of most of its shared shingles, if those are many.
-    votes = rows.where("node > low").groupBy("node", "low").agg(F.count(F.lit(1)).alias("c"))
-    votes = votes.groupBy("node").agg(F.max(F.struct("c", "low")).alias("best"))
+    # A shingle's hub is the set whose prefix is seen most often for its size: the middle of a family.
+    often = found.groupBy("token").agg(F.count(F.lit(1)).alias("c"))
+    fame = found.join(often, "token").groupBy("node").agg(F.sum("c").alias("c")).join(nodes.select("node", "n"), "node")
+    hubs = found.join(fame.select("node", (F.col("c") / F.col("n")).alias("fame")), "node").groupBy("token").agg(F.max(F.struct("fame", "node")).alias("hub"))
+    rows, rows_path = materialise(found.join(hubs.select("token", F.col("hub.node").alias("hub")), "token"), "rows")
+    drop(spark, found_path)
+
+    # First round: each node with the hub of most of its shared shingles, if those are many.
+    votes = rows.where("node <> hub").groupBy("node", "hub").agg(F.count(F.lit(1)).alias("c"))
+    votes = votes.groupBy("node").agg(F.max(F.struct("c", "hub")).alias("best"))
     votes = votes.join(nodes.select("node", "n"), "node").where(F.col("best.c") * 1000 >= PROMISING * F.col("n"))
-    pairs = votes.select(F.col("node").alias("a"), F.col("best.low").alias("b"))
+    pairs = votes.select(F.col("node").alias("a"), F.col("best.hub").alias("b"))
     links = _verify(_plausible(pairs, nodes), texts)
     links = spark.createDataFrame([], "a long, b long") if links is None else links
     component, _ = materialise(connected_components(links, "cc"), "component")
-    # Then, of each two components that share a shingle in a tree, the most promising pair.
-    rows = rows.select("token", "node", "short")
-    pairs, path = _tree_pairs(_apart(rows, component), nodes, best_only=True)
-    before = component
-    more = _verify(_plausible(pairs, nodes), texts)
-    if more is not None:
-        links = links.unionByName(more)
-        component, _ = materialise(connected_components(links, "cc"), "component")
+    # Then the most promising pair of each component in a tree, and of each two components.
+    for keep_pairs in (OF_ONE, OF_TWO):
+        pairs, path = _tree_pairs(_apart(rows, component), nodes, keep_pairs)
+        before = component
+        more = _verify(pairs.select("a", "b").distinct(), texts)
+        if more is not None:
+            component = _merge(component, more)
+        if keep_pairs == OF_ONE:
+            drop(spark, path)
     # Last, all pairs of those components that had others and are still apart.
     now = component.select(F.col("node").alias("c"), F.col("component").alias("now"))
     unsettled = pairs.where("more").select("p", "q").distinct()
@@ -463,13 +505,12 @@ def join_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     open_, open_path = materialise(unsettled.select(F.col("p").alias("old")).union(unsettled.select("q")).distinct(), "unsettled")
     if not open_.isEmpty():
         named = rows.join(before, "node", "left").withColumn("old", F.coalesce("component", "node"))
-        left = named.join(_small(open_, 24), "old", "left_semi").select("token", "node", "short")
-        others, others_path = _tree_pairs(_apart(left, component), nodes, best_only=False)
+        left = named.join(_small(open_, 24), "old", "left_semi").select("token", "hub", "node", "short")
+        others, others_path = _tree_pairs(_apart(left, component), nodes, ALL)
         others = others.select("a", "b").distinct().join(pairs.select("a", "b").distinct(), ["a", "b"], "left_anti")
-        more = _verify(_plausible(others, nodes), texts)
+        more = _verify(others, texts)
         if more is not None:
-            links = links.unionByName(more)
-            component, _ = materialise(connected_components(links, "cc"), "component")
+            component = _merge(component, more)
         drop(spark, others_path)
     drop(spark, path)
     drop(spark, open_path)
