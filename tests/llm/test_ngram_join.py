@@ -78,8 +78,7 @@ def test_empty(spark):
 
 def test_traversal_loses_no_pair():
     rng = np.random.default_rng(4)
-    cache = ngram_join._Hashes()
-    sets = [ngram_join.shingles(t, cache) for t in corpus(2, 60, 10)]
+    sets = ngram_join.shingle_sets(corpus(2, 60, 10))
     sets.sort(key=len)
     bits = np.frombuffer(b"".join(map(ngram_join.bitmap, sets)), np.uint64).reshape(len(sets), -1)
     sizes = np.array([len(s) for s in sets])
