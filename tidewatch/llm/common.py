@@ -21,13 +21,20 @@ def scratch_dir(spark: SparkSession) -> str:
     return spark.conf.get("spark.checkpoint.dir", None) or DEFAULT_SCRATCH
 
 
-def materialise(df: DataFrame, tag: str = "t") -> tuple[DataFrame, str]:
+#: A slim table is written by one task for so many shuffle partitions.
+SLIM = 8
+
+
+def materialise(df: DataFrame, tag: str = "t", slim: bool = False) -> tuple[DataFrame, str]:
     """Write ``df`` as Parquet to the shared folder and read it back.
 
-    The table cuts the lineage and outlives any executor.  Returns the table
-    and its path, for :func:`drop`.
+    The table cuts the lineage and outlives any executor.  ``slim`` is for rows
+    of a few numbers: fewer tasks write fewer files, in proportion to the
+    shuffle partitions.  Returns the table and its path, for :func:`drop`.
     """
     spark = df.sparkSession
+    if slim:
+        df = df.coalesce(-(-int(spark.conf.get("spark.sql.shuffle.partitions")) // SLIM))
     path = f"{scratch_dir(spark)}/tidewatch-{tag}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path), path
@@ -56,7 +63,7 @@ def connected_components(edges: DataFrame, tag: str = "cc", max_rounds: int = 64
         .select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
         .distinct()
     )
-    e, path = materialise(e, tag)
+    e, path = materialise(e, tag, slim=True)
     state = _checksum(e)
     for _ in range(max_rounds):
         if state[0] == 0:
@@ -79,7 +86,7 @@ def connected_components(edges: DataFrame, tag: str = "cc", max_rounds: int = 64
             .unionByName(low.select("a", F.col("m").alias("b")))
             .distinct()
         )
-        following, new_path = materialise(small, tag)
+        following, new_path = materialise(small, tag, slim=True)
         drop(spark, path)
         e, path = following, new_path
         previous, state = state, _checksum(e)

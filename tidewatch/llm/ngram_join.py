@@ -294,7 +294,7 @@ def _join_tree(keep_pairs: str):
     """The function of one task: pairs that may link.
 
     All of them, or the most promising ones of each component or of each two
-    components; ``more`` marks two components that had others.
+    components; ``more`` marks components that had others.
     """
 
     def tree(rows: pd.DataFrame, tokens: np.ndarray) -> SignatureTree:
@@ -339,7 +339,10 @@ def _join_tree(keep_pairs: str):
             else:
                 ends = pd.concat([out["p"], out["q"]]).sort_index(kind="stable")
                 first = ends[~ends.reset_index(drop=True).duplicated().to_numpy()]
-                out = out.loc[first.index.unique()]
+                kept = out.index.isin(first.index)
+                others = pd.concat([out["p"][~kept], out["q"][~kept]]).unique()
+                out = out[kept]
+                out["more"] = out["p"].isin(others) | out["q"].isin(others)
         low, high = out[["a", "b"]].min(axis=1), out[["a", "b"]].max(axis=1)
         return out.assign(a=low, b=high)[["a", "b", "p", "q", "more"]].astype({"a": "int64", "b": "int64", "p": "int64", "q": "int64"})
 
@@ -378,10 +381,10 @@ def _verify(pairs: DataFrame, texts: DataFrame) -> DataFrame | None:
 
     The sets are built again from the texts, for the nodes of the pairs only.
     """
-    pairs, pairs_path = materialise(pairs, "plausible")
+    pairs, pairs_path = materialise(pairs, "plausible", slim=True)
     if pairs.isEmpty():
         return None
-    involved, involved_path = materialise(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct(), "involved")
+    involved, involved_path = materialise(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct(), "involved", slim=True)
     sets = texts.select("text").mapInArrow(_sets, "node long, tokens array<long>").join(_small(involved, 24), "node", "left_semi")
     sets, sets_path = materialise(sets.groupBy("node").agg(F.first("tokens").alias("tokens")), "sets")
     a = sets.select(F.col("node").alias("a"), F.col("tokens").alias("x"))
@@ -389,7 +392,7 @@ def _verify(pairs: DataFrame, texts: DataFrame) -> DataFrame | None:
     both = pairs.join(a, "a").join(b, "b")
     both = both.withColumn("shared", F.size(F.array_intersect("x", "y")))
     similar = both.where(F.lit(100) * F.col("shared") >= F.lit(PERCENT) * (F.size("x") + F.size("y") - F.col("shared"))).select("a", "b")
-    links, _ = materialise(similar, "links")
+    links, _ = materialise(similar, "links", slim=True)
     for path in (involved_path, sets_path, pairs_path):
         drop(pairs.sparkSession, path)
     return links
@@ -404,7 +407,7 @@ def _merge(component: DataFrame, links: DataFrame) -> DataFrame:
     joined = joined.select(F.col("node").alias("was"), F.col("component").alias("now"))
     new = joined.join(component, F.col("was") == F.col("node"), "left_anti").select(F.col("was").alias("node"), F.col("was").alias("component"))
     every = component.unionByName(new).join(joined, F.col("component") == F.col("was"), "left")
-    return materialise(every.select("node", F.coalesce("now", "component").alias("component")), "component")[0]
+    return materialise(every.select("node", F.coalesce("now", "component").alias("component")), "component", slim=True)[0]
 
 
 def _apart(rows: DataFrame, component: DataFrame | None) -> DataFrame:
@@ -441,7 +444,7 @@ def _tree_pairs(apart: DataFrame, nodes: DataFrame, keep_pairs: str) -> tuple[Da
     placed = placed.select("hot", "tree", "i", "j", "side", "same", "node", "component", F.col("held.token").alias("tokens"), F.col("held.short").alias("short"))
     placed = placed.join(nodes, "node")
     pairs = placed.groupBy("hot", "tree", "i", "j").applyInPandas(_join_tree(keep_pairs), "a long, b long, p long, q long, more boolean")
-    found = materialise(pairs, "pairs")
+    found = materialise(pairs, "pairs", slim=True)
     drop(apart.sparkSession, path)
     return found
 
@@ -470,7 +473,7 @@ def join_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     rows = tokens.join(_small(common, 32), "token").groupBy("token", "node").agg(F.max("short").alias("short"))
     found, found_path = materialise(rows, "rows")
     drop(spark, common_path)
-    nodes = filled.join(_small(materialise(found.select("node").distinct(), "involved")[0], 24), "node", "left_semi")
+    nodes = filled.join(_small(materialise(found.select("node").distinct(), "involved", slim=True)[0], 24), "node", "left_semi")
     nodes, nodes_path = materialise(nodes.groupBy("node").agg(F.first("n").alias("n"), F.first("bits").alias("bits"), F.first("wide").alias("wide")), "nodes")
     # A shingle's hub is the set whose prefix is seen most often for its size: the middle of a family.
     often = found.groupBy("token").agg(F.count(F.lit(1)).alias("c"))
@@ -486,34 +489,34 @@ def join_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     pairs = votes.select(F.col("node").alias("a"), F.col("best.hub").alias("b"))
     links = _verify(_plausible(pairs, nodes), texts)
     links = spark.createDataFrame([], "a long, b long") if links is None else links
-    component, _ = materialise(connected_components(links, "cc"), "component")
-    # Then the most promising pair of each component in a tree, and of each two components.
-    for keep_pairs in (OF_ONE, OF_TWO):
-        pairs, path = _tree_pairs(_apart(rows, component), nodes, keep_pairs)
+    component, _ = materialise(connected_components(links, "cc"), "component", slim=True)
+    # Then the most promising pair of each component in a tree, of each two components, and all pairs;
+    # each round only for the components that had more pairs in the round before.
+    scope, seen, paths = rows, None, []
+    for keep_pairs in (OF_ONE, OF_TWO, ALL):
+        found, path = _tree_pairs(_apart(scope, component), nodes, keep_pairs)
+        paths.append(path)
+        pairs = found.select("a", "b").distinct()
+        links = _verify(pairs if seen is None else pairs.join(seen, ["a", "b"], "left_anti"), texts)
+        seen = pairs if seen is None else seen.unionByName(pairs)
         before = component
-        more = _verify(pairs.select("a", "b").distinct(), texts)
-        if more is not None:
-            component = _merge(component, more)
-        if keep_pairs == OF_ONE:
-            drop(spark, path)
-    # Last, all pairs of those components that had others and are still apart.
-    now = component.select(F.col("node").alias("c"), F.col("component").alias("now"))
-    unsettled = pairs.where("more").select("p", "q").distinct()
-    for c in ("p", "q"):
-        unsettled = unsettled.join(now.select(F.col("c").alias(c), F.col("now").alias(f"{c}_now")), c, "left").withColumn(f"{c}_now", F.coalesce(f"{c}_now", c))
-    unsettled = unsettled.where("p_now <> q_now")
-    open_, open_path = materialise(unsettled.select(F.col("p").alias("old")).union(unsettled.select("q")).distinct(), "unsettled")
-    if not open_.isEmpty():
-        named = rows.join(before, "node", "left").withColumn("old", F.coalesce("component", "node"))
-        left = named.join(_small(open_, 24), "old", "left_semi").select("token", "hub", "node", "short")
-        others, others_path = _tree_pairs(_apart(left, component), nodes, ALL)
-        others = others.select("a", "b").distinct().join(pairs.select("a", "b").distinct(), ["a", "b"], "left_anti")
-        more = _verify(others, texts)
-        if more is not None:
-            component = _merge(component, more)
-        drop(spark, others_path)
-    drop(spark, path)
-    drop(spark, open_path)
+        component = component if links is None else _merge(component, links)
+        if keep_pairs == ALL:
+            break
+        unsettled = found.where("more").select("p", "q").distinct()
+        if keep_pairs == OF_TWO:
+            now = component.select(F.col("node").alias("x"), F.col("component").alias("y"))
+            for c in ("p", "q"):
+                unsettled = unsettled.join(now.withColumnsRenamed({"x": c, "y": f"{c}_now"}), c, "left").withColumn(f"{c}_now", F.coalesce(f"{c}_now", c))
+            unsettled = unsettled.where("p_now <> q_now")
+        open_, path = materialise(unsettled.select(F.col("p").alias("was")).union(unsettled.select("q")).distinct(), "unsettled", slim=True)
+        paths.append(path)
+        if open_.isEmpty():
+            break
+        named = scope.join(before, "node", "left").withColumn("was", F.coalesce("component", "node"))
+        scope = named.join(_small(open_, 24), "was", "left_semi").select("token", "hub", "node", "short")
+    for path in paths:
+        drop(spark, path)
     for path in (rows_path, nodes_path):
         drop(spark, path)
 
