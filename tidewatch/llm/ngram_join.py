@@ -118,22 +118,20 @@ def shingle_sets(texts: list[str | None]) -> list[np.ndarray]:
 
 
 def bitmap(tokens: np.ndarray) -> bytes:
-    bits = np.zeros(BITS, bool)
-    bits[(tokens % np.uint64(BITS)).astype(np.int64)] = True
+    """A set's bitmap: ``BITS`` bits, more for a large set (four a shingle); a wide one folds to any smaller one."""
+    size = max(BITS, min(WIDEST, 1 << (4 * max(len(tokens), 1) - 1).bit_length()))
+    bits = np.zeros(size, bool)
+    bits[(tokens % np.uint64(size)).astype(np.int64)] = True
     return np.packbits(bits).tobytes()
 
 
-def wide_bitmap(tokens: np.ndarray) -> bytes | None:
-    """For a large set, a bitmap of at least four bits a shingle; it folds to any smaller one."""
-    if len(tokens) <= BITS // 4:
-        return None
-    bits = np.zeros(min(WIDEST, 1 << (4 * len(tokens) - 1).bit_length()), bool)
-    bits[(tokens % np.uint64(len(bits))).astype(np.int64)] = True
-    return np.packbits(bits).tobytes()
+def folded(bits: bytes) -> np.ndarray:
+    """The bitmap of ``BITS`` bits that a wider one folds to, as 64-bit words."""
+    return np.bitwise_or.reduce(np.frombuffer(bits, np.uint64).reshape(-1, BITS // 64), 0)
 
 
 def most_shared(x: bytes, y: bytes, n: int, m: int) -> int:
-    """The largest overlap of two sets of n and m shingles that their wide bitmaps allow."""
+    """The largest overlap of two sets of n and m shingles that their bitmaps allow."""
     a, b = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
     size = min(len(a), len(b))
     a, b = (np.bitwise_or.reduce(v.reshape(-1, size), 0) for v in (a, b))
@@ -141,8 +139,9 @@ def most_shared(x: bytes, y: bytes, n: int, m: int) -> int:
     return min(n - p, m - q) + common
 
 
-def _fits(x: bytes | None, y: bytes | None, n: int, m: int) -> bool:
-    return x is None or y is None or (100 + PERCENT) * most_shared(x, y, n, m) >= PERCENT * (n + m)
+def _fits(x: bytes, y: bytes, n: int, m: int) -> bool:
+    """False for sets that the wider bitmaps rule out; those of ``BITS`` bits have been looked at."""
+    return min(len(x), len(y)) * 8 <= BITS or (100 + PERCENT) * most_shared(x, y, n, m) >= PERCENT * (n + m)
 
 
 def prefix(tokens: np.ndarray, frequent: np.ndarray) -> np.ndarray:
@@ -205,9 +204,8 @@ def _signatures(shared):
                         pa.array([bitmap(x) for x in sets], pa.binary()),
                         _lists([prefix(x, frequent) for x in sets]),
                         pa.array([short_prefix(len(x)) for x in sets], pa.int32()),
-                        pa.array([wide_bitmap(x) for x in sets], pa.binary()),
                     ],
-                    names=["doc_id", "n", "node", "bits", "prefix", "short", "wide"],
+                    names=["doc_id", "n", "node", "bits", "prefix", "short"],
                 )
 
     return run
@@ -306,7 +304,7 @@ def _join_tree(keep_pairs: str):
         short = np.concatenate(rows["short"].tolist()).astype(bool)
         seen[0][at[short], column[short]] = True
         index, probe = (np.packbits(x, 1).view(np.uint64) for x in seen)
-        bits = np.frombuffer(b"".join(rows["bits"]), np.uint64).reshape(len(rows), -1)
+        bits = np.stack([folded(b) for b in rows["bits"]])
         return SignatureTree(bits, rows["n"].to_numpy(np.int64), rows["component"].to_numpy(np.int64), index, probe)
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -323,7 +321,7 @@ def _join_tree(keep_pairs: str):
             i, j = dual_traversal(x, y)
         else:
             i = j = np.zeros(0, np.int64)
-        u, v, n, m = left["wide"].tolist(), right["wide"].tolist(), left["n"].tolist(), right["n"].tolist()
+        u, v, n, m = left["bits"].tolist(), right["bits"].tolist(), left["n"].tolist(), right["n"].tolist()
         keep = [_fits(u[a], v[b], n[a], m[b]) for a, b in zip(i.tolist(), j.tolist(), strict=True)]
         i, j = i[keep], j[keep]
         ca, cb = left["component"].to_numpy()[i], right["component"].to_numpy()[j]
@@ -350,15 +348,15 @@ def _join_tree(keep_pairs: str):
 
 
 def _plausible(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """The pairs that the wide bitmaps of large sets do not rule out; pairs with a small set pass."""
+    """The pairs that the wider bitmaps of large sets do not rule out; pairs with a small set pass."""
 
     def check(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             keep = [_fits(x, y, n, m) for x, y, n, m in zip(batch["x"], batch["y"], batch["n"], batch["m"], strict=True)]
             yield batch.loc[keep, ["a", "b"]]
 
-    a = nodes.select(F.col("node").alias("a"), "n", F.col("wide").alias("x"))
-    b = nodes.select(F.col("node").alias("b"), F.col("n").alias("m"), F.col("wide").alias("y"))
+    a = nodes.select(F.col("node").alias("a"), "n", F.col("bits").alias("x"))
+    b = nodes.select(F.col("node").alias("b"), F.col("n").alias("m"), F.col("bits").alias("y"))
     return pairs.select("a", "b").distinct().join(a, "a").join(b, "b").mapInPandas(check, "a long, b long")
 
 
@@ -463,7 +461,7 @@ def join_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     spark = docs.sparkSession
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     shared = spark.sparkContext.broadcast(_frequent(texts))
-    signed = texts.mapInArrow(_signatures(shared), "doc_id long, n long, node long, bits binary, prefix array<long>, short int, wide binary")
+    signed = texts.mapInArrow(_signatures(shared), "doc_id long, n long, node long, bits binary, prefix array<long>, short int")
     signed, _ = materialise(signed, "signatures")
     filled = signed.where("n > 0")
 
@@ -474,7 +472,7 @@ def join_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     found, found_path = materialise(rows, "rows")
     drop(spark, common_path)
     nodes = filled.join(_small(materialise(found.select("node").distinct(), "involved", slim=True)[0], 24), "node", "left_semi")
-    nodes, nodes_path = materialise(nodes.groupBy("node").agg(F.first("n").alias("n"), F.first("bits").alias("bits"), F.first("wide").alias("wide")), "nodes")
+    nodes, nodes_path = materialise(nodes.groupBy("node").agg(F.first("n").alias("n"), F.first("bits").alias("bits")), "nodes")
     # A shingle's hub is the set whose prefix is seen most often for its size: the middle of a family.
     often = found.groupBy("token").agg(F.count(F.lit(1)).alias("c"))
     fame = found.join(often, "token").groupBy("node").agg(F.sum("c").alias("c")).join(nodes.select("node", "n"), "node")
