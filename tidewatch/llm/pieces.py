@@ -23,11 +23,11 @@ from pyspark.sql import functions as F
 #: The public model that the queries encode with.
 MODEL_PATH = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
-CHUNK_CHARS = 1 << 20
+CHUNK_CHARS = 1 << 19
 #: Distinct units whose ids a worker remembers, in each of two generations.
-CACHE_UNITS = 400_000
-#: Transitions that a state remembers beyond its own.
-MAX_STEPS = 2_000
+CACHE_UNITS = 150_000
+#: Transitions that an automaton remembers beyond its own.
+MAX_STEPS = 200_000
 # Kinds of pieces, and what an unknown character costs beyond the worst piece.
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 UNKNOWN_PENALTY = 10.0
@@ -130,8 +130,8 @@ class Automaton:
                     self.fail[child] = self.go[g].get(c, 0) if node else 0
                     following.append(child)
             level = following
-        #: Transitions and outputs as they are found: a goto table that needs no fail link the second time.
-        self.step: list[dict[str, int]] = [dict(g) for g in self.go]
+        #: Outputs as they are found.  Resolved transitions join the goto table, where they stay right.
+        self.added = 0
         self.outputs: list[tuple] = [()] * len(self.go)
         #: True if no piece holds a space mark behind another character: words are then coded apart.
         self.by_word = all(SPACE not in model.pieces[i].lstrip(SPACE) for i in usable)
@@ -147,8 +147,9 @@ class Automaton:
         while node and c not in self.go[node]:
             node = self.fail[node]
         node = self.go[node].get(c, 0)
-        if len(self.step[state]) < MAX_STEPS:
-            self.step[state][c] = node
+        if self.added < MAX_STEPS:
+            self.go[state][c] = node
+            self.added += 1
         return node
 
     def _outputs(self, state: int) -> tuple:
@@ -162,7 +163,7 @@ class Automaton:
 
     def viterbi(self, text: str) -> list[int]:
         """Ids of the best segmentation of normalised text."""
-        outputs, step = self.outputs, self.step
+        outputs, step = self.outputs, self.go
         best, back = [0.0], [(0, -1)]
         state = before = end = 0
         for c in text:
@@ -195,6 +196,9 @@ class Automaton:
             end = start
         return ids[::-1]
 
+    def forget(self) -> None:
+        self.cache, self.older = {}, {}
+
     def normalise(self, text: str) -> str:
         if self.model.strip_spaces:
             text = re.sub(" {2,}", " ", text).strip(" ")
@@ -288,6 +292,7 @@ def encode_documents(docs: DataFrame, data: bytes, id_col: str = "doc_id", text_
                 offsets = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
                 ids = pa.ListArray.from_arrays(offsets, np.concatenate(each))
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(counts), ids, pa.array(same)], names=["doc_id", "n_tokens", "ids", "round_trip"])
+        coder.forget()  # the worker may serve other stages next
 
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     return rows.mapInArrow(run, "doc_id long, n_tokens long, ids array<int>, round_trip boolean")

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 #: Labelled documents that the fit takes at most, the ones of smallest hash.
 SAMPLE_DOCS = 5000
 #: Characters that are looked at together; bounds a worker's memory.
-CHUNK_CHARS = 1 << 20
+CHUNK_CHARS = 1 << 18
 #: Bin edges of a feature, as quantiles over the sample's lines; the tails are finer.
 QUANTILES = (0.002, 0.01, 0.03, 0.1, 0.2, 0.35, 0.5, 0.65, 0.8, 0.9, 0.97, 0.99, 0.998)
 BINS = len(QUANTILES) + 1
