@@ -40,6 +40,17 @@ def materialise(df: DataFrame, tag: str = "t", slim: bool = False) -> tuple[Data
     return spark.read.schema(df.schema).parquet(path), path
 
 
+#: Rows of one Arrow batch: texts are long, and a batch lies in the executor and in its Python worker at once.
+BATCH_ROWS = 1000
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Let the session send Python workers at most ``BATCH_ROWS`` rows at once."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= BATCH_ROWS:
+        spark.conf.set(name, BATCH_ROWS)
+
+
 def drop(spark: SparkSession, path: str) -> None:
     """Delete a scratch table that no later plan reads."""
     jvm = spark._jvm

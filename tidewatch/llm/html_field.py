@@ -21,6 +21,8 @@ import pyarrow.compute
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidewatch.llm.common import small_batches
+
 CHUNK_CHARS = 1 << 20
 #: Labelled pages that the potentials are trained on; they come from :func:`labelled_page`.
 TRAINING_PAGES = 600
@@ -405,6 +407,7 @@ def extract_pages(pages: DataFrame, model: TreeField | None = None, id_col: str
     it goes; null ids and repeated rows stay; other columns are not read.
     """
     field = model or trained()
+    small_batches(pages.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewatch.llm.common import materialise
+from tidewatch.llm.common import materialise, small_batches
 
 GRAM = 3
 #: Diagonals of one template this close, with touching spans, are merged.
@@ -189,6 +189,7 @@ def scan_licenses(
     phrase needs at least ``GRAM`` words.
     """
     spark = docs.sparkSession
+    small_batches(spark)
     wanted = [(words(p), label, True) for p, label in (PHRASES if phrases is None else phrases).items()]
     wanted += [(words(p), label, False) for p, label in (NOTICES if notices is None else notices).items()]
     if any(len(w) < GRAM for w, _, _ in wanted):

@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewatch.llm.common import connected_components, drop, materialise
+from tidewatch.llm.common import connected_components, drop, materialise, small_batches
 
 WORDS = 5
 #: Two sets link when PERCENT of their union is shared.
@@ -459,6 +459,7 @@ def join_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     Shingles and sets are compared by 64-bit hashes.
     """
     spark = docs.sparkSession
+    small_batches(spark)
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     shared = spark.sparkContext.broadcast(_frequent(texts))
     signed = texts.mapInArrow(_signatures(shared), "doc_id long, n long, node long, bits binary, prefix array<long>, short int")

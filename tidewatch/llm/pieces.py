@@ -20,6 +20,8 @@ import pyarrow.compute
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidewatch.llm.common import small_batches
+
 #: The public model that the queries encode with.
 MODEL_PATH = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
@@ -279,6 +281,7 @@ def encode_documents(docs: DataFrame, data: bytes, id_col: str = "doc_id", text_
     itself comes back as a space and counts as equal).  A null or empty text
     has no ids; null ids and repeated rows stay; other columns are not read.
     """
+    small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(data)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

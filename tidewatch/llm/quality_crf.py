@@ -19,6 +19,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidewatch.llm.common import small_batches
+
 #: Labelled documents that the fit takes at most, the ones of smallest hash.
 SAMPLE_DOCS = 5000
 #: Characters that are looked at together; bounds a worker's memory.
@@ -242,6 +244,7 @@ def train(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS) ->
     after one label (the smallest) is chosen for a repeated id.  Line features
     are computed on the executors; only they reach the driver.
     """
+    small_batches(docs.sparkSession)
     usable = labels.where(F.col("doc_id").isNotNull() & F.col("quality").isin(0, 1) & ~held_out(F.col("doc_id")))
     chosen = usable.groupBy("doc_id").agg(F.min("quality").cast("int").alias("quality"))
     chosen = chosen.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_docs)
