@@ -198,9 +198,6 @@ class Automaton:
             end = start
         return ids[::-1]
 
-    def forget(self) -> None:
-        self.cache, self.older = {}, {}
-
     def normalise(self, text: str) -> str:
         if self.model.strip_spaces:
             text = re.sub(" {2,}", " ", text).strip(" ")
@@ -246,7 +243,7 @@ class Automaton:
         return text.removeprefix(" ") if self.model.dummy_prefix else text
 
 
-#: Automata that this worker process has built, by the model's hash.
+#: The automaton that this worker process has built for its task, by the model's hash.
 _BUILT: dict[int, tuple[Automaton, list[bytes]]] = {}
 
 
@@ -295,7 +292,7 @@ def encode_documents(docs: DataFrame, data: bytes, id_col: str = "doc_id", text_
                 offsets = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
                 ids = pa.ListArray.from_arrays(offsets, np.concatenate(each))
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(counts), ids, pa.array(same)], names=["doc_id", "n_tokens", "ids", "round_trip"])
-        coder.forget()  # the worker may serve other stages next
+        _BUILT.clear()  # the worker may serve other stages next, which need its memory
 
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     return rows.mapInArrow(run, "doc_id long, n_tokens long, ids array<int>, round_trip boolean")
