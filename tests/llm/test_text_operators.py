@@ -160,6 +160,38 @@ def test_licenses(spark):
     assert license_scan.scan_licenses(df.limit(0)).collect() == []
 
 
+def test_license_lines_of_documents(spark):
+    lines = {
+        "This work is licensed under the GNU General Public License, version 3.": ("", "gpl", 1.0),
+        "All rights reserved.": ("", "all-rights-reserved", 1.0),
+        "Licensed under the Apache License, Version 2.0.": ("apache-2", "apache-2", 1.0),
+        "Released under the MIT License.": ("mit", "mit", 1.0),
+        "Licensed under CC BY-NC 4.0.": ("cc-by-nc", "cc-by-nc", 1.0),
+        "Creative Commons Attribution 4.0 International": ("", "cc-by", 1.0),
+        "Creative Commons Attribution-NonCommercial 4.0 International": ("", "cc-by-nc", 1.0),
+        "BSD 3-Clause License": ("", "bsd", 1.0),
+        "under the Mozilla Public License, v. 2.0": ("", "mpl-2", 1.0),
+        "the GNU Lesser General Public License": ("", "", 0.0),
+        "all rights were reserved; a general public license": ("", "", 0.0),
+        "Creative Commons Attribution-ShareAlike 4.0": ("", "", 0.0),
+    }
+    for place in ("{}", "some words before\n{}\nand more after"):
+        df = spark.createDataFrame([(i, place.format(t)) for i, t in enumerate(lines)], "doc_id long, text string")
+        got = {r.doc_id: r for r in license_scan.scan_licenses(df).collect()}
+        for i, (line, want) in enumerate(lines.items()):
+            r = got[i]
+            assert (r.base_labels, r.labels, r.score) == want, line
+            assert tuple(r)[1:6] == brute_license(place.format(line))
+
+
+def test_license_lines_in_the_given_documents(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    labels = {r.doc_id: r.labels.split(",") for r in license_scan.scan_licenses(docs).collect()}
+    for line, label, least in (("GNU General Public License, version 3.", "gpl", 9), ("All rights reserved.", "all-rights-reserved", 7)):
+        ids = [r.doc_id for r in docs.collect() if line in (r.text or "")]
+        assert len(ids) >= least and all(label in labels[i] for i in ids)
+
+
 def test_quality(spark):
     data = "/root/testdata/sf0.01"
     docs, labels = spark.read.parquet(f"{data}/documents.parquet"), spark.read.parquet(f"{data}/labels.parquet")

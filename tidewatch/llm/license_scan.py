@@ -49,6 +49,39 @@ NOTICES = {
     "this source code form is subject to the terms of the mozilla public license v 2 0": "mpl-2",
     "all rights reserved no part of this publication may be reproduced": "all-rights-reserved",
 }
+# Short wordings that name a license, and their labels; they count only where all their words stand.
+# A version or "license" follows where the name alone is also the start of another license's.
+NAMES = {
+    "the mit license": "mit",
+    "under mit license": "mit",
+    "apache license 2 0": "apache-2",
+    "apache license v2": "apache-2",
+    "apache 2 0 license": "apache-2",
+    "apache software license version 2": "apache-2",
+    "creative commons attribution noncommercial 4 0": "cc-by-nc",
+    "creative commons attribution noncommercial 3 0": "cc-by-nc",
+    "creative commons attribution noncommercial license": "cc-by-nc",
+    "creative commons attribution non commercial 4 0": "cc-by-nc",
+    "creative commons attribution non commercial 3 0": "cc-by-nc",
+    "creative commons attribution non commercial license": "cc-by-nc",
+    "creative commons attribution 4 0": "cc-by",
+    "creative commons attribution 3 0": "cc-by",
+    "creative commons attribution license": "cc-by",
+    "cc by 4 0": "cc-by",
+    "cc by 3 0": "cc-by",
+    "the bsd license": "bsd",
+    "under bsd license": "bsd",
+    "bsd 2 clause": "bsd",
+    "bsd 3 clause": "bsd",
+    "2 clause bsd": "bsd",
+    "3 clause bsd": "bsd",
+    "gnu general public license": "gpl",
+    "the gnu gpl": "gpl",
+    "mozilla public license 2 0": "mpl-2",
+    "mozilla public license v 2 0": "mpl-2",
+    "mozilla public license version 2 0": "mpl-2",
+    "all rights reserved": "all-rights-reserved",
+}
 
 _KEEP = bytes(
     c if 0x30 <= c <= 0x39 or 0x61 <= c <= 0x7A or c >= 0x80 else c + 32 if 0x41 <= c <= 0x5A else 32 for c in range(256)
@@ -116,7 +149,7 @@ def _count_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
             yield pa.RecordBatch.from_arrays([*part.columns[:3], counts], names=["doc_id", "_k1", "_k2", "n_words"])
 
 
-def _verify_batches(templates: list[tuple[list[bytes], str, bool]]):
+def _verify_batches(templates: list[tuple[list[bytes], str, str]]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in _slices(batch, "_text"):
@@ -143,22 +176,26 @@ def merge_diagonals(votes: list[dict]) -> list[tuple[int, int]]:
     return [(a, b) for a, b, _ in spans]
 
 
-def verify(tokens: list[bytes], votes: list[dict], templates: list[tuple[list[bytes], str, bool]]) -> tuple:
+def verify(tokens: list[bytes], votes: list[dict], templates: list[tuple[list[bytes], str, str]]) -> tuple:
     """Places and labels that the words bear out.
 
-    A phrase counts at each place where all its words stand; a notice counts
-    where a merged span holds at least ``MIN_COVER`` of its words in order.
+    A phrase counts at each place where all its words stand; a name counts
+    once all its words stand somewhere, and gives its label only; a notice
+    counts where a merged span holds at least ``MIN_COVER`` of its words in order.
     """
     starts, base, all_labels, score = [], set(), set(), 0.0
     for number in sorted({v["template"] for v in votes}):
-        wanted, label, exact = templates[number]
+        wanted, label, kind = templates[number]
         own = [v for v in votes if v["template"] == number]
-        if exact:
+        if kind != "notice":
             places = [v["diagonal"] for v in own if v["diagonal"] >= 0 and tokens[v["diagonal"] : v["diagonal"] + len(wanted)] == wanted]
             if places:
-                starts += places
-                base.add(label)
                 score = 1.0
+                if kind == "phrase":
+                    starts += places
+                    base.add(label)
+                else:
+                    all_labels.add(label)
             continue
         for lo, hi in merge_diagonals(own):
             around = tokens[max(0, lo - len(wanted)) : hi + GRAM + len(wanted)]
@@ -177,21 +214,23 @@ def scan_licenses(
     notices: dict[str, str] | None = None,
     id_col: str = "doc_id",
     text_col: str = "text",
+    names: dict[str, str] | None = None,
 ) -> DataFrame:
-    """Phrases and notices of licenses in every whole text.
+    """Phrases, notices and names of licenses in every whole text.
 
     Returns one row per input row: ``doc_id``, ``n_words``, ``n_base`` (places
     of phrases), ``first_word`` and ``last_word`` (smallest and largest start,
     from 0, else null), ``base_labels`` and ``labels`` (distinct, sorted,
-    comma-joined; the latter with those of notices), and ``score`` (1 for a
-    phrase, else the best share of a notice's words, else 0).  A null text is
-    empty; null ids and repeated rows stay; other columns are not read.  A
-    phrase needs at least ``GRAM`` words.
+    comma-joined; the latter with those of notices and names), and ``score`` (1
+    for a phrase or a name, else the best share of a notice's words, else 0).
+    A null text is empty; null ids and repeated rows stay; other columns are
+    not read.  A phrase needs at least ``GRAM`` words.
     """
     spark = docs.sparkSession
     small_batches(spark)
-    wanted = [(words(p), label, True) for p, label in (PHRASES if phrases is None else phrases).items()]
-    wanted += [(words(p), label, False) for p, label in (NOTICES if notices is None else notices).items()]
+    wanted = [(words(p), label, "phrase") for p, label in (PHRASES if phrases is None else phrases).items()]
+    wanted += [(words(p), label, "notice") for p, label in (NOTICES if notices is None else notices).items()]
+    wanted += [(words(p), label, "name") for p, label in (NAMES if names is None else names).items()]
     if any(len(w) < GRAM for w, _, _ in wanted):
         raise ValueError(f"a phrase needs at least {GRAM} words")
     cache = _Hashes()
