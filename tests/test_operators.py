@@ -181,3 +181,11 @@ def test_stream_merge(spark, tmp_path):
     spark.createDataFrame([(2, "c"), (3, "d")], "k int, v string").write.mode("append").parquet(source)
     run()
     assert sorted(one(spark.read.parquet(f"{target}/version=1"))) == [(1, "a"), (2, "c"), (3, "d")]
+
+
+def test_gold_query_has_every_window(spark):
+    from tidewatch import catalog
+
+    rows = catalog.QUERIES["m22_gold_tables"](spark, "/root/testdata/sf0.001").groupBy("table_name", "grain").count().collect()
+    assert {(r.table_name, r.grain) for r in rows} == {(f"{g}_{w}M_DASHBOARD", g) for g in ("CLUSTER", "DEFECT", "PRODUCT", "OVERVIEW") for w in (3, 6, 9, 12)}
+    assert all(r["count"] > 0 for r in rows)

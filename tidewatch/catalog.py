@@ -79,7 +79,7 @@ query("m22_gold_tables", None)(lambda s, d: _gold_union(reports(s, d)))
 
 def _gold_union(rows: DataFrame) -> DataFrame:
     out = None
-    for name, t in gold.gold_tables(rows, (3, 12)).items():
+    for name, t in gold.gold_tables(rows).items():
         t = t.withColumn("table_name", F.lit(name))
         out = t if out is None else out.unionByName(t)
     return out
