@@ -56,6 +56,19 @@ def test_hostile_rows(spark):
     assert dedup.find_links(df.limit(0)).collect() == []
 
 
+def test_repeated_ids_of_different_vectors(spark, monkeypatch):
+    v, w = [1.0, 0.5, -2.0], [-3.0, 1.0, 0.25]
+    rows = [(7, v, 1), (7, w, 1), (3, [x * 2 for x in v], 1), (9, [x * 3 for x in w], 1), (9, [x * 4 for x in v], 2), (7, [x * 5 for x in v], 2), (3, w, 2)]
+    rows += [(None, [x * 6 for x in w], 1), (None, [0.0, 0.0, 1.0], 2), (-5, [0.0, 1.0, 0.0], 1), (1 << 62, [0.0, -1.0, 0.0], 1), ((1 << 62) + 1, [0.0, -2.0, 0.0], 1)]
+    rows += [(i % 7, u, label) for i, u, label in _rows(60, 16, 4)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    key = lambda r: tuple((x is not None, x) for x in r)
+    for block in (1024, 20, 2):
+        monkeypatch.setattr(dedup, "BLOCK", block)
+        got = [tuple(r) for r in dedup.find_links(df).collect()]
+        assert sorted(got, key=key) == sorted(brute(rows), key=key)
+
+
 def test_estimates_are_unbiased_and_bounded():
     rng = np.random.default_rng(3)
     a = rng.standard_normal((400, 64))

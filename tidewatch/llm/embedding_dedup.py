@@ -22,8 +22,6 @@ from pyspark.sql import functions as F
 from tidewatch.llm.common import connected_components, materialise
 
 THRESHOLD = 0.93
-#: Ids are below; classes of rows without an id are named from here on.
-NAMELESS = 1 << 62
 #: Classes of one block, about; a task holds two blocks.
 BLOCK = 1024
 #: Standard errors of the estimate below the threshold at which a pair is dropped.  Up to 65
@@ -109,7 +107,7 @@ def compare_blocks(threshold: float):
     """The function of one task: all rows of one pair of blocks of a label."""
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.drop_duplicates(["side", "rep"]).sort_values(["side", "rep"])
+        pdf = pdf.sort_values(["side", "node"])
         left, right = pdf[pdf["side"] == 0], pdf[pdf["side"] == 1]
         out_u, out_v, n_u, n_links = [], [], [], []
         if len(left) and (len(right) or pdf["same"].iloc[0]):
@@ -119,7 +117,7 @@ def compare_blocks(threshold: float):
             else:
                 b = _unit(right["vector"])
             i, j = _links(a, b, threshold)
-            ids_a, ids_b = left["rep"].to_numpy(), right["rep"].to_numpy()
+            ids_a, ids_b = left["node"].to_numpy(), right["node"].to_numpy()
             size_a, size_b = left["n"].to_numpy(), right["n"].to_numpy()
             counts = np.bincount(i, size_b[j], len(ids_a)), np.bincount(j, size_a[i], len(ids_b))
             for ids, c in zip((ids_a, ids_b), counts, strict=True):
@@ -161,9 +159,8 @@ def find_links(
     # Copies are one class: 128 bits of the vector's hash and the label name it.
     named = good.withColumns({"h1": F.xxhash64("label", "vector"), "h2": F.xxhash64(F.lit(1), "vector", "label")})
     classes = named.groupBy("label", "h1", "h2").agg(F.min("vec_id").alias("rep"), F.count(F.lit(1)).alias("n"), F.min("vector").alias("vector"))
-    # A class of rows without any id still needs a name: one beyond all ids, from its hash.
-    classes = classes.withColumn("rep", F.coalesce("rep", F.pmod("h1", F.lit(NAMELESS)) + F.lit(NAMELESS)))
-    classes, _ = materialise(classes, "vectors")
+    # A class goes by a number of its own: ids may be null or repeated.  Written once, it stays.
+    classes, _ = materialise(classes.withColumn("node", F.monotonically_increasing_id()), "vectors")
     groups = classes.groupBy("label", F.size("vector").alias("dim")).agg(F.count(F.lit(1)).alias("classes"))
     groups = groups.withColumn("blocks", F.ceil(F.col("classes") / F.lit(BLOCK)).cast("int"))
     dealt = classes.withColumn("dim", F.size("vector")).join(groups, ["label", "dim"]).withColumn("block", F.pmod(F.xxhash64(F.lit(3), "h1", "h2"), F.col("blocks")).cast("int"))
@@ -172,16 +169,17 @@ def find_links(
         F.sequence(F.lit(0), F.col("blocks") - 1),
         lambda k: F.struct(F.least("block", k).alias("i"), F.greatest("block", k).alias("j"), (F.col("block") > k).cast("int").alias("side"), (F.col("block") == k).alias("same")),
     )
-    spread = dealt.withColumn("pair", F.explode(pairs)).select("label", "dim", "rep", "n", "vector", "pair.*")
+    spread = dealt.withColumn("pair", F.explode(pairs)).select("label", "dim", "node", "n", "vector", "pair.*")
     found = spread.groupBy("label", "dim", "i", "j").applyInPandas(compare_blocks(threshold), "a long, b long, n long")
     found, _ = materialise(found, "links")
     components = connected_components(found.where("b IS NOT NULL").select("a", "b"), "vector-links")
-    counts = found.where("b IS NULL").groupBy(F.col("a").alias("rep")).agg(F.sum("n").alias("others"))
+    counts = found.where("b IS NULL").groupBy(F.col("a").alias("node")).agg(F.sum("n").alias("others"))
+    smallest = components.join(classes.select("node", "rep"), "node").groupBy("component").agg(F.min("rep").alias("smallest"))
     of_class = (
-        classes.select("label", "h1", "h2", "rep", "n")
-        .join(counts, "rep", "left")
-        .join(components.withColumnRenamed("node", "rep"), "rep", "left")
-        .select("label", "h1", "h2", (F.col("n") - 1 + F.coalesce("others", F.lit(0))).alias("n_links"), F.coalesce("component", "rep").alias("component"))
+        classes.select("label", "h1", "h2", "node", "rep", "n")
+        .join(counts, "node", "left")
+        .join(components.join(smallest, "component"), "node", "left")
+        .select("label", "h1", "h2", (F.col("n") - 1 + F.coalesce("others", F.lit(0))).alias("n_links"), F.coalesce("smallest", "rep").alias("component"))
     )
     # A row's way back to its class is small: hashes, not vectors.
     keyed = rows.select(
@@ -194,9 +192,4 @@ def find_links(
         "vec_id",
         F.coalesce("n_links", F.lit(0)).alias("n_links"),
         F.coalesce("component", "vec_id").alias("component_id"),
-    ).select(
-        "vec_id",
-        "n_links",
-        F.when(F.col("component_id") < F.lit(NAMELESS), F.col("component_id")).alias("component_id"),
-        F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(False)).alias("kept"),
-    )
+    ).select("vec_id", "n_links", "component_id", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(False)).alias("kept"))
