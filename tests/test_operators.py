@@ -189,3 +189,53 @@ def test_gold_query_has_every_window(spark):
     rows = catalog.QUERIES["m22_gold_tables"](spark, "/root/testdata/sf0.001").groupBy("table_name", "grain").count().collect()
     assert {(r.table_name, r.grain) for r in rows} == {(f"{g}_{w}M_DASHBOARD", g) for g in ("CLUSTER", "DEFECT", "PRODUCT", "OVERVIEW") for w in (3, 6, 9, 12)}
     assert all(r["count"] > 0 for r in rows)
+
+
+def brute_separation(rows):
+    """Davies-Bouldin index and silhouette of (label, vector) pairs, from every pair."""
+    rows = [(k, v) for k, v in rows if k != -1]
+    labels = sorted({k for k, _ in rows})
+    of = {k: [v for x, v in rows if x == k] for k in labels}
+    centre = {k: [sum(c) / len(of[k]) for c in zip(*of[k], strict=True)] for k in labels}
+    spread = {k: sum(math.dist(v, centre[k]) for v in of[k]) / len(of[k]) for k in labels}
+    dbi = sum(max((spread[k] + spread[x]) / math.dist(centre[k], centre[x]) for x in labels if x != k) for k in labels) / len(labels)
+    each = []
+    for k, v in rows:
+        if len(of[k]) == 1:
+            each.append(0.0)
+            continue
+        a = sum(math.dist(v, w) for w in of[k]) / (len(of[k]) - 1)
+        b = min(sum(math.dist(v, w) for w in of[x]) / len(of[x]) for x in labels if x != k)
+        each.append((b - a) / max(a, b))
+    return dbi, sum(each) / len(each)
+
+
+def test_separation_against_all_pairs(spark, monkeypatch):
+    import random
+
+    from tidewatch.operators import clusters
+
+    rng = random.Random(3)
+    rows = [(i % 4 - 1, [rng.gauss(3 * (i % 4), 1.5) for _ in range(5)]) for i in range(90)]
+    rows += [(0, rows[1][1]), (0, rows[1][1]), (1, rows[1][1]), (9, [20.0] * 5)]
+    df = spark.createDataFrame(rows, "label int, embedding array<double>")
+    dbi, sil = brute_separation(rows)
+    for block in (4096, 7):
+        monkeypatch.setattr(clusters, "BLOCK", block)
+        got = clusters.separation(df, "embedding", "label").collect()
+        assert len(got) == 1
+        assert got[0].davies_bouldin == pytest.approx(dbi)
+        assert got[0].silhouette == pytest.approx(sil)
+    assert one(clusters.silhouette(df.where("label < 1"), "embedding", "label")) == [(None,)]
+    assert one(clusters.silhouette(df.limit(0), "embedding", "label")) == [(None,)]
+
+
+def test_composite_score(spark):
+    from tidewatch.operators import clusters
+
+    df = spark.createDataFrame(
+        [(3, 0.2, 0.1, 0.8, 0.25, 0.4), (6, 0.45, 0.0, 0.6, 0.5, 0.5), (7, 0.75, 0.5, 0.25, 0.0, 0.9), (4, -0.3, 0.0, 0.7, 0.0, 0.25), (1, None, 0.0, 0.0, 0.0, 1.0)],
+        "k long, silhouette double, noise_ratio double, entropy double, gini double, max_ratio double",
+    )
+    got = {r.k: (r.valid, r.score) for r in clusters.composite_score(df).collect()}
+    assert got == {3: (True, 0.575), 6: (True, 0.685), 7: (False, 0.605), 4: (True, 0.55), 1: (False, None)}

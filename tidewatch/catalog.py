@@ -473,6 +473,7 @@ SELECT k, round(noise / a, 6) AS noise_ratio, round(e / ln(k), 6) AS entropy, ro
 )(lambda s, d: clusters.cluster_quality(reports(s, d), "cluster").select("k", *[F.round(c, 6).alias(c) for c in ("noise_ratio", "entropy", "gini", "max_ratio")]))
 query("m15_features")(lambda s, d: clusters.standardise(load(s, d, "embeddings"), "embedding", {"label": [0, 1, 2]}, 0.5).select("vec_id", "features"))
 query("m19_separation")(lambda s, d: clusters.separation(load(s, d, "embeddings"), "embedding", "label"))
+query("m20_cluster_score")(lambda s, d: clusters.composite_score(clusters.cluster_quality(load(s, d, "embeddings"), "label").crossJoin(clusters.silhouette(load(s, d, "embeddings"), "embedding", "label"))))
 query("m09_m11_extraction")(
     lambda s, d: extraction.as_rows(extraction.validated(extraction.extract(extraction.candidates(load(s, d, "conversations").select("text"), load(s, d, "conversations").where("turn = 0").select("text"), "text"), "text")), "text")
 )
