@@ -44,11 +44,26 @@ def materialise(df: DataFrame, tag: str = "t", slim: bool = False) -> tuple[Data
 BATCH_ROWS = 1000
 
 
+ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
 def small_batches(spark: SparkSession) -> None:
-    """Let the session send Python workers at most ``BATCH_ROWS`` rows at once."""
-    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if not 0 < int(spark.conf.get(name)) <= BATCH_ROWS:
-        spark.conf.set(name, BATCH_ROWS)
+    """Let the session send Python workers at most ``BATCH_ROWS`` rows at once.
+
+    The setting is read when a plan runs.  Operators that return a plan leave it
+    with the session; those that run their Python stages themselves restore it.
+    """
+    if not 0 < int(spark.conf.get(ARROW_ROWS)) <= BATCH_ROWS:
+        spark.conf.set(ARROW_ROWS, BATCH_ROWS)
+
+
+def free_shuffles(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of plans that have ended.
+
+    Its cleaner follows the driver's garbage collector, which may not run for
+    long on a driver that does little.
+    """
+    spark._jvm.System.gc()
 
 
 def drop(spark: SparkSession, path: str) -> None:
