@@ -69,16 +69,51 @@ def test_repeated_ids_of_different_vectors(spark, monkeypatch):
         assert sorted(got, key=key) == sorted(brute(rows), key=key)
 
 
+def _unit(rng, n, dim):
+    x = rng.standard_normal((n, dim))
+    return x / np.linalg.norm(x, axis=1, keepdims=True)
+
+
+def _side(x):
+    packed, factors, small, scale, lost = dedup.encode(x)
+    return {"codes": dedup.signs(packed, x.shape[1]), "factors": factors, "vectors": small * scale[:, None], "lost": lost}
+
+
 def test_estimates_are_unbiased_and_bounded():
     rng = np.random.default_rng(3)
-    a = rng.standard_normal((400, 64))
-    a /= np.linalg.norm(a, axis=1, keepdims=True)
-    b = a + rng.standard_normal((400, 64)) * 0.04
-    b /= np.linalg.norm(b, axis=1, keepdims=True)
-    codes, factors = dedup.encode(a)
-    estimate = (codes * (b @ dedup.rotation(64))).sum(1) / factors
-    assert abs((estimate - (a * b).sum(1)).mean()) < 0.01
-    cosine = a @ b.T
-    maybe = dedup.undecided(codes, factors, b @ dedup.rotation(64), 0.93)
-    assert maybe[cosine >= 0.93].all()
-    assert maybe.mean() < 0.1
+    for dim in (3, 64, 200):
+        a = _unit(rng, 400, dim)
+        b = a + rng.standard_normal((400, dim)) * 0.3 / np.sqrt(dim)
+        b /= np.linalg.norm(b, axis=1, keepdims=True)
+        side, other = _side(a), _side(b)
+        exact = (a * b).sum(1)
+        estimate = (side["codes"] * (b @ dedup.rotation(dim))).sum(1) / side["factors"]
+        assert abs((estimate - exact).mean()) < 0.05
+        linked = exact >= 0.93
+        assert linked.sum() > 50 and (estimate[linked] >= dedup.floor_of_estimate(side["factors"], 0.93)[linked] - 1e-9).all()
+        assert (np.abs((side["vectors"] * other["vectors"]).sum(1) - exact) <= side["lost"] + other["lost"] + 1e-6).all()
+
+
+def test_no_pair_is_decided_wrongly():
+    rng = np.random.default_rng(5)
+    for dim in (2, 64, 130):
+        centres = _unit(rng, 40, dim)
+        x = centres[rng.integers(0, 40, 700)] + rng.standard_normal((700, dim)) * rng.choice([0.1, 0.2, 0.3], (700, 1)) / np.sqrt(dim)
+        x /= np.linalg.norm(x, axis=1, keepdims=True)
+        exact = x @ x.T >= 0.93
+        i, j, sure = dedup.decide(_side(x), None, 0.93)
+        assert exact[i[sure], j[sure]].all()
+        assert {(a, b) for a, b in zip(*np.nonzero(np.tril(exact, -1)), strict=True)} <= set(zip(i, j, strict=True))
+        assert (~sure).sum() < 0.02 * len(i) + 5
+        k, m, _ = dedup.decide(_side(x[:300]), _side(x[300:]), 0.93)
+        assert {(a, b) for a, b in zip(*np.nonzero(exact[:300, 300:]), strict=True)} <= set(zip(k, m, strict=True))
+
+
+def test_pairs_at_the_threshold_are_recomputed(spark):
+    beside = lambda c: [c, float(np.sqrt(1 - c * c)), 0.0]
+    rows = [(1, [1.0, 0.0, 0.0], 1), (2, beside(0.930002), 1), (3, [-1.0, 0.0, 0.0], 1), (4, [-x for x in beside(0.929998)], 1), (5, [2.0, 0.0, 0.0], 1), (6, [1.0, 0.0, 0.0], 1)]
+    assert not dedup.decide(_side(np.array([rows[0][1]])), _side(np.array([rows[1][1]])), 0.93)[2].any()
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    assert sorted(tuple(r) for r in dedup.find_links(df).collect()) == sorted(brute(rows))
+    wide = [(1, [1e200, 0.0], 1), (2, [1e-200, 0.0], 1)]
+    assert [r.n_links for r in dedup.find_links(spark.createDataFrame(wide, df.schema)).collect()] == [1, 1]
