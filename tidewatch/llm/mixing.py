@@ -17,8 +17,6 @@ from pyspark.sql import functions as F
 
 from tidewatch.llm.common import drop, materialise
 
-#: The most patterns the flow is solved for; more stop the run, and none are dropped.
-MAX_PATTERNS = 100_000
 #: Parts of a pattern's seeded order whose sizes are summed on the executors and seen by the driver.
 SLICES = 256
 #: Slices within the one slice that the share ends in, and so on, this many levels deep.
@@ -26,6 +24,8 @@ LEVELS = 3
 #: Passes that fill a share: the later ones take shorter documents.
 PASSES = 3
 MAX_REPEATS = 2
+#: The plan of the patterns is broadcast up to this many bytes, about so many each, and shuffled beyond.
+BROADCAST_BYTES, PLAN_BYTES = 32 << 20, 512
 
 
 def word_count(text: Column) -> Column:
@@ -104,8 +104,35 @@ def plan(patterns: dict[tuple, int], targets: dict, repeats: int = MAX_REPEATS)
     """Tokens to take of each pattern: the cheapest flow that fills the sources' targets.
 
     Taking a token the k-th time costs k * k, so all patterns of a source are
-    taken once before any is taken twice.
+    taken once before any is taken twice.  Sources that no pattern links share
+    no tokens, so each linked group is a flow of its own; a source with one
+    pattern needs none.
     """
+    parent: dict = {s: s for name in patterns for s in name}
+
+    def find(x):
+        while parent[x] != x:
+            parent[x] = parent[parent[x]]
+            x = parent[x]
+        return x
+
+    for name in patterns:
+        for s in name[1:]:
+            parent[find(s)] = find(name[0])
+    groups: dict = {}
+    for name in patterns:
+        groups.setdefault(find(name[0]) if name else None, []).append(name)
+    take = dict.fromkeys(patterns, 0)
+    for names in groups.values():
+        sources = sorted({s for name in names for s in name if s in targets}, key=lambda s: (s is None, s or ""))
+        if len(names) == 1:
+            take[names[0]] = min(sum(round(targets[s]) for s in sources), repeats * patterns[names[0]])
+        elif sources:
+            take |= _flow({name: patterns[name] for name in names}, {s: targets[s] for s in sources}, repeats)
+    return take
+
+
+def _flow(patterns: dict[tuple, int], targets: dict, repeats: int) -> dict[tuple, int]:
     names, sources = list(patterns), list(targets)
     start, end = 0, 1 + len(names) + len(sources)
     at = {s: 1 + len(names) + i for i, s in enumerate(sources)}
@@ -157,7 +184,9 @@ def cut_points(sized: DataFrame, extra: dict[str, int]) -> list[tuple[str, int,
                 break
             step = SLICES**level
             table = spark.createDataFrame(active, "pattern string, lo long, hi long, longest long")  # a row for each pattern
-            inside = sized.join(F.broadcast(table), "pattern").where("_hash >= lo AND _hash < hi AND size <= longest")
+            if len(active) * PLAN_BYTES <= BROADCAST_BYTES:
+                table = F.broadcast(table)
+            inside = sized.join(table, "pattern").where("_hash >= lo AND _hash < hi AND size <= longest")
             sums: dict[str, list[tuple[int, int]]] = {p: [] for p, *_ in active}
             for r in inside.groupBy("pattern", F.expr(f"_hash div {step}").alias("slot")).agg(F.sum("size").alias("size")).collect():
                 sums[r["pattern"]].append((r["slot"], r["size"]))  # at most SLICES rows for each pattern
@@ -188,20 +217,21 @@ def mix(
 
     A document's sources are its ``source_cols``; its size is its words.  See
     :func:`quotas` for the targets and :func:`plan` for the flow.  Returns the
-    input rows and columns with ``_size``, ``_pattern`` and ``_copies`` (0 to
-    ``most``) added, and, for the first source column, ``_source_size`` and
-    ``_target``.  A null source is a source of its own, a null text has size 0;
-    identical rows are taken or left together; an empty table gives an empty
-    result.  Reruns agree.  More than ``MAX_PATTERNS`` patterns raise an error.
+    input rows and columns and, last, one struct named ``_mix`` (with further
+    underscores where the input has such names) of ``size``, ``pattern``,
+    ``copies`` (0 to ``most``) and, for the first source column,
+    ``source_size`` and ``target``.  A null source is a source of its own, a
+    null text has size 0; identical rows are taken or left together; an empty
+    table gives an empty result.  Reruns agree.  The driver sees a row for each
+    pattern of sources, however many there are, and none for a document.
     """
-    spark = docs.sparkSession
-    rows = docs.withColumns(
-        {"_size": word_count(F.col(text_col)), "_pattern": membership(*[F.col(c) for c in source_cols]), "_hash": seeded_hash(id_col, text_col, seed)}
-    )
-    sized, path = materialise(rows.select(F.col("_pattern").alias("pattern"), F.col("_size").alias("size"), "_hash"), "mix")
-    sums = sized.groupBy("pattern").agg(F.sum("size").alias("size")).limit(MAX_PATTERNS + 1).collect()
-    if len(sums) > MAX_PATTERNS:
-        raise ValueError(f"more than {MAX_PATTERNS} membership patterns")
+    spark, own = docs.sparkSession, "_mix"
+    while any(c.lower().startswith(own) for c in docs.columns):
+        own += "_"
+    parts = {"size": word_count(F.col(text_col)), "pattern": membership(*[F.col(c) for c in source_cols]), "hash": seeded_hash(id_col, text_col, seed)}
+    rows = docs.withColumn(own, F.struct(*[c.alias(n) for n, c in parts.items()]))
+    sized, path = materialise(rows.select(f"{own}.pattern", f"{own}.size", F.col(f"{own}.hash").alias("_hash")), "mix")
+    sums = sized.groupBy("pattern").agg(F.sum("size").alias("size")).collect()
     sums.sort(key=lambda r: r["pattern"])
     of = {r["pattern"]: tuple(json.loads(r["pattern"])) for r in sums}
     size = {of[r["pattern"]]: r["size"] for r in sums}
@@ -215,23 +245,27 @@ def mix(
     target = quotas(order, weights, share * whole / listed if listed else share, most)
     take = plan(size, target, most)
     extra = {p: take[name] % size[name] if size[name] else 0 for p, name in of.items()}
-    ranges = cut_points(sized, extra)
+    ranges: dict[str, list[tuple[int, int, int]]] = {}
+    for p, *r in cut_points(sized, extra):
+        ranges.setdefault(p, []).append(tuple(r))
     drop(spark, path)
 
     table = spark.createDataFrame(
-        [
-            (p, take[name] // size[name] if size[name] else 0, [(a, b, n) for q, a, b, n in ranges if q == p], by_source[name[0]], target[name[0]])
-            for p, name in of.items()
-        ],
-        "_pattern string, _rounds long, _ranges array<struct<start: long, cut: long, longest: long>>, _source_size long, _target double",
+        [(p, (take[name] // size[name] if size[name] else 0, ranges.get(p, []), by_source[name[0]], target[name[0]])) for p, name in of.items()],
+        f"{own}k string, {own}p struct<rounds: long, ranges: array<struct<start: long, cut: long, longest: long>>, source_size: long, target: double>",
     )  # a row for each pattern
-    chosen = F.exists("_ranges", lambda r: (F.col("_hash") >= r["start"]) & (F.col("_hash") < r["cut"]) & (F.col("_size") <= r["longest"]))
-    joined = rows.join(F.broadcast(table), "_pattern")
-    joined = joined.withColumn("_copies", F.when(F.col("_size") > 0, F.col("_rounds") + chosen.cast("long")).otherwise(F.lit(0)))
-    return joined.select(*docs.columns, "_size", "_pattern", "_copies", "_source_size", "_target")
+    if len(of) * PLAN_BYTES <= BROADCAST_BYTES:
+        table = F.broadcast(table)
+    mix_, plan_ = (lambda c: F.col(own)[c]), (lambda c: F.col(f"{own}p")[c])
+    joined = rows.join(table, mix_("pattern") == F.col(f"{own}k"))
+    chosen = F.exists(plan_("ranges"), lambda r: (mix_("hash") >= r["start"]) & (mix_("hash") < r["cut"]) & (mix_("size") <= r["longest"]))
+    copies = F.when(mix_("size") > 0, plan_("rounds") + chosen.cast("long")).otherwise(F.lit(0))
+    found = F.struct(mix_("size").alias("size"), mix_("pattern").alias("pattern"), copies.alias("copies"), plan_("source_size").alias("source_size"), plan_("target").alias("target"))
+    return joined.withColumn(own, found).drop(f"{own}k", f"{own}p")
 
 
 def repeat(mixed: DataFrame) -> DataFrame:
-    """The rows that a mix takes, each as often as it is taken; the added columns go."""
-    taken = mixed.where(F.col("_copies") > 0).withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int"))))
-    return taken.drop("_size", "_pattern", "_copies", "_source_size", "_target", "_copy")
+    """The rows that a mix takes, each as often as it is taken; the added last column goes."""
+    own = mixed.columns[-1]
+    taken = mixed.where(F.col(own)["copies"] > 0)
+    return taken.withColumn(own, F.explode(F.sequence(F.lit(1), F.col(own)["copies"].cast("int")))).drop(own)
