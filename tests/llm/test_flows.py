@@ -54,23 +54,110 @@ def test_mix(spark):
     target = mixing.quotas(sorted(sizes.items(), key=lambda x: (x[0] is None, x[0] or "")), [5, 2, 1], 1.5, 2)
     for source, size in sizes.items():
         own = [r for r in got if r.source == source]
-        assert {r._source_size for r in own} == {size} and own[0]._target == pytest.approx(target[source])
-        taken = sum(r._size * r._copies for r in own)
+        assert {r._mix.source_size for r in own} == {size} and own[0]._mix.target == pytest.approx(target[source])
+        taken = sum(r._mix.size * r._mix.copies for r in own)
         assert abs(taken - target[source]) <= max(3, 0.02 * target[source])
-        assert all(0 <= r._copies <= 2 for r in own)
-    again = {(r.doc_id, r._copies) for r in mixing.mix(df.repartition(3), [5, 2, 1], 1.5).collect()}
-    assert again == {(r.doc_id, r._copies) for r in got}
-    assert mixing.repeat(mixed).count() == sum(r._copies for r in got)
+        assert all(0 <= r._mix.copies <= 2 for r in own)
+    again = {(r.doc_id, r._mix.copies) for r in mixing.mix(df.repartition(3), [5, 2, 1], 1.5).collect()}
+    assert again == {(r.doc_id, r._mix.copies) for r in got}
+    assert mixing.repeat(mixed).count() == sum(r._mix.copies for r in got)
     assert mixing.repeat(mixed).columns == df.columns
     assert mixing.mix(df.limit(0), [5, 2, 1], 1.5).collect() == []
 
 
+def test_mix_keeps_columns_of_clashing_names(spark):
+    names = ["_size", "_pattern", "_hash", "_copies", "_source_size", "_target", "_mix", "pattern", "plan", "mix", "row", "size"]
+    df = spark.createDataFrame([(i, "a b", f"s{i % 2}", *range(len(names))) for i in range(8)], ["doc_id", "text", "source", *names])
+    mixed = mixing.mix(df, [1], 1.0)
+    assert mixed.columns == [*df.columns, "_mix_"]
+    assert sorted(mixed.drop("_mix_").collect()) == sorted(df.collect())
+    assert mixing.repeat(mixed).columns == df.columns
+
+
+def test_many_patterns_and_overlaps(spark):
+    many = {(f"s{i}",): 10 for i in range(120_000)} | {("a", "b"): 40, ("a",): 10, ("b", "c"): 5}
+    take = mixing.plan(many, {f"s{i}": 15.0 for i in range(120_000)} | {"a": 30.0, "b": 30.0, "c": 8.0})
+    assert all(take[(f"s{i}",)] == 15 for i in range(120_000)) and sum(take[p] for p in (("a", "b"), ("a",), ("b", "c"))) == 68
+    df = spark.createDataFrame([(i, "w " * (1 + i % 7), "x" if i % 3 else "y", "z" if i % 2 else "x") for i in range(400)], "doc_id long, text string, source string, topic string")
+    got = mixing.mix(df, [5, 2, 1], 0.5, source_cols=("source", "topic")).collect()
+    taken: dict = {}
+    for r in got:
+        taken[r._mix.pattern] = taken.get(r._mix.pattern, 0) + r._mix.size * r._mix.copies
+    sizes: dict = {}
+    for r in got:
+        sizes[r._mix.pattern] = sizes.get(r._mix.pattern, 0) + r._mix.size
+    assert len(sizes) == 4 and abs(sum(taken.values()) - 0.5 * sum(sizes.values())) <= 30
+
+
+def brute_taken(patterns, targets, repeats):
+    """The cheapest of the largest takes, by trying every flow."""
+    names, sources = list(patterns), list(targets)
+    arcs = [(i, s) for i, n in enumerate(names) for s in n if s in targets]
+    best = None
+    for flow in itertools.product(*[range(repeats * patterns[names[i]] + 1) for i, _ in arcs]):
+        out = [sum(f for f, (i, _) in zip(flow, arcs, strict=True) if i == k) for k in range(len(names))]
+        into = {s: sum(f for f, (_, t) in zip(flow, arcs, strict=True) if t == s) for s in sources}
+        if any(o > repeats * patterns[n] for o, n in zip(out, names, strict=True)) or any(into[s] > targets[s] for s in sources):
+            continue
+        cost = sum(sum((1 + k // patterns[n]) ** 2 for k in range(o)) for o, n in zip(out, names, strict=True) if patterns[n])
+        key = (-sum(out), cost)
+        best = key if best is None else min(best, key)
+    return best
+
+
+def test_plan_against_enumeration():
+    rng = random.Random(9)
+    for _ in range(25):
+        patterns = {n: rng.randint(1, 3) for n in rng.sample([("a",), ("b",), ("a", "b"), ("b", "c"), ("c",)], 3)}
+        targets = {s: float(rng.randint(0, 4)) for s in sorted({s for n in patterns for s in n})}
+        take = mixing.plan(patterns, targets)
+        cost = sum(sum((1 + k // patterns[n]) ** 2 for k in range(t)) for n, t in take.items())
+        assert (-sum(take.values()), cost) == brute_taken(patterns, targets, 2)
+
+
 def test_transfers_move_the_fewest_bytes():
     flow = resharding.transfers({0: 30, 1: 10}, {0: 14, 1: 13, 2: 13})
     assert flow[(0, 0)] == 14 and flow[(1, 1)] == 10
     assert sum(f for (a, b), f in flow.items() if a != b) == 16
 
 
+def test_transfers_against_enumeration():
+    rng = random.Random(2)
+    for _ in range(30):
+        old = {0: rng.randint(0, 4), 1: rng.randint(0, 4), 2: rng.randint(0, 3)}
+        total = sum(old.values())
+        capacity = {0: rng.randint(0, total)}
+        capacity |= {1: rng.randint(0, total - capacity[0])}
+        capacity |= {2: total - capacity[0] - capacity[1]}
+        moved = sum(f for (a, b), f in resharding.transfers(old, capacity).items() if a != b)
+        cells = [(a, b) for a in old for b in capacity]
+        splits = lambda n: [(x, y, n - x - y) for x in range(n + 1) for y in range(n - x + 1)]
+        ways = itertools.product(*[splits(old[a]) for a in old])
+        fits = [w for w in ways if all(sum(row[b] for row in w) == capacity[b] for b in capacity)]
+        assert len(cells) == 9 and moved == min(sum(x for a, row in enumerate(w) for b, x in enumerate(row) if a != b) for w in fits)
+
+
+def test_equal_texts_stay_together(spark):
+    rng = random.Random(8)
+    texts = [f"{k} " * rng.randint(1, 60) for k in range(150)]
+    rows = [(i, t) for i, t in enumerate(t for t in texts for _ in range(rng.choice((1, 1, 2, 9))))]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    old = F.pmod(F.xxhash64("text"), F.lit(4))
+    got = resharding.reshard(df, old, [1] * 6).join(df, "doc_id").collect()
+    homes: dict = {}
+    for r in got:
+        homes.setdefault(r.text, set()).add(r.shard)
+    assert all(len(s) == 1 for s in homes.values())
+    hot = df.unionByName(spark.range(5000, 9000).selectExpr("id AS doc_id", "'the same again' AS text"))
+    got = resharding.reshard(hot, old, [1] * 6).join(hot, "doc_id").collect()
+    total, homes, sums = sum(r.size for r in got), {}, {}
+    for r in got:
+        homes.setdefault(r.text, set()).add(r.shard)
+        sums[r.shard] = sums.get(r.shard, 0) + r.size
+    assert [t for t, s in homes.items() if len(s) > 1] == ["the same again"]
+    assert all(abs(s - total / 6) <= 0.03 * total / 6 for s in sums.values())
+
+
 def test_reshard(spark, tmp_path):
     rng = random.Random(6)
     rows = [(i, "t" * rng.randint(0, 200) + str(i)) for i in range(900)] + [(1000 + i, "copy é") for i in range(300)] + [(2000, None), (2001, "")]
@@ -129,3 +216,20 @@ def test_pipeline(spark):
     ids = pipeline.encode_pieces(spark, mixed, DATA)
     assert ids.count() == mixed.count() and ids.where("NOT round_trip").count() == 0
     assert pipeline.run(spark, DATA).count() == mixed.count()
+
+
+def test_pipeline_on_hostile_rows(spark):
+    import corpus_pipeline as pipeline
+
+    text = "a line of plain words about the weather in the north of the country and the sea beside it"
+    kind = "doc_id long, text string, lang string, source string, n_chars long, _mix int, number int"
+    rows = [(1, text), (1, text), (None, text), (None, text), (2, text.upper()), (3, None), (None, ""), (4, "another text that stands for itself among all of these rows here"), (5, None), (5, "x y")]
+    docs = spark.createDataFrame([(*r, "en", None, 1, 7, 8) for r in rows], kind)
+    single = pipeline.drop_near_duplicates(spark, docs, DATA).collect()
+    assert sorted((str(r.doc_id), str(r.text)) for r in single) == sorted([("2", text.upper()), ("3", "None"), ("None", ""), ("4", rows[7][1]), ("5", "None"), ("5", "x y")])
+    plain = docs.where("doc_id IN (2, 3, 4)")
+    assert sorted(r.doc_id for r in pipeline.drop_near_duplicates(spark, plain, DATA).collect()) == [2, 3, 4]
+    for _, stage in pipeline.STAGES:
+        assert stage(spark, docs.limit(0), DATA).collect() == []
+    for _, stage in pipeline.STAGES[:-1]:
+        assert stage(spark, docs, DATA).columns == pipeline.COLUMNS

@@ -46,13 +46,7 @@ MIX_WEIGHTS, MIX_SHARE = [5, 2, 1], 1.5
 
 def op8_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(table(spark, sf_dir, "documents").select("doc_id", "text", "source"), MIX_WEIGHTS, MIX_SHARE)
-    return mixed.select(
-        "doc_id",
-        F.col("_size").alias("size"),
-        F.col("_source_size").alias("source_size"),
-        F.col("_target").alias("target"),
-        (F.col("_size") * F.col("_copies")).alias("taken"),
-    )
+    return mixed.select("doc_id", "_mix.size", "_mix.source_size", "_mix.target", (F.col("_mix.size") * F.col("_mix.copies")).alias("taken"))
 
 
 OLD_SHARDS, NEW_SHARDS = 16, 24
@@ -63,7 +57,7 @@ def op9_resharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     old = F.pmod(F.xxhash64(F.coalesce("text", F.lit(""))), F.lit(OLD_SHARDS))
     placed = resharding.reshard(docs, old, [1] * NEW_SHARDS)
     return placed.select(
-        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "old_shard"
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "old_shard", "rewritten"
     )
 
 
