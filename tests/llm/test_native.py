@@ -9,6 +9,8 @@ import unicodedata
 
 import xxhash
 
+from pyspark.sql import functions as F
+
 from tidewatch.llm import common, fingerprint, url_filter
 
 TEXTS = ["", None, "Hello  World", "hello world ", "ﬁne Ⅷ", "FINE viii", "Straße", "STRASSE", "x" * 70_000, "é", "e\u0301", "a\u00a0b", "a b", "日本語テキスト", "日本語テキスト"]
@@ -55,6 +57,18 @@ def test_follower_over_many_buckets(spark, monkeypatch):
     assert got == {i: f"t{j}" for i, j in zip(ids, ids[1:] + ids[:1], strict=True)}
 
 
+def test_a_far_id_leaves_the_buckets_even(spark, monkeypatch):
+    monkeypatch.setattr(fingerprint, "BUCKET_ROWS", 50)
+    ids = [*range(100, 2100), 10**15, -(10**15), 2**62]
+    df = spark.createDataFrame([(i, f"t{i}") for i in ids] + [(None, "n")], "doc_id long, text string")
+    bounds = fingerprint._bounds(df, df.count())
+    sizes = sorted(r["count"] for r in df.where("doc_id IS NOT NULL").groupBy(fingerprint._bucket(F.col("doc_id"), bounds)).count().collect())
+    assert len(sizes) > 20 and sizes[-1] <= 2 * sizes[len(sizes) // 2]
+    got = {r.doc_id: r.next_text for r in fingerprint.with_follower(df, ["text"]).collect()}
+    order = [None, *sorted(ids)]
+    assert got == {i: "n" if j is None else f"t{j}" for i, j in zip(order, order[1:] + order[:1], strict=True)}
+
+
 def test_mixed_bucket_is_told_apart(spark):
     named = spark.createDataFrame([("w", "1"), ("w", "2"), ("v", "1"), ("v", "1"), ("u", "3"), ("u", "3")], "wide string, sha string")
     texts = spark.createDataFrame([("w", "a"), ("w", "a"), ("v", "b"), ("v", "b"), ("u", "c"), ("u", "d")], "wide string, canon string")

@@ -10,13 +10,16 @@ functions only: the normaliser and the folder are Java library calls.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewatch.llm.common import materialise
 
-#: Rows of one id bucket, on average, when each document is paired with its follower.
-BUCKET_ROWS = 2048
+#: Rows of one id bucket, about, when each document is paired with its follower, and the square root
+#: of the largest number of buckets.
+BUCKET_ROWS, FAN = 2048, 64
 #: Length of the hash that is grouped, in hexadecimal digits.
 WIDE_DIGITS = 32
 #: Runs of what Unicode counts as white space.
@@ -45,22 +48,35 @@ def wide_hash(canon: Column) -> Column:
     return F.concat(half(F.xxhash64(canon)), half(F.xxhash64(F.lit("tidewatch"), canon)))
 
 
+def _bounds(docs: DataFrame, n: int) -> list[list[int]]:
+    """Quantiles of the ids, ``FAN`` lists of ``FAN`` at most: bounds of buckets that hold about as many rows each."""
+    fan = max(1, min(FAN, math.ceil(math.sqrt(n / BUCKET_ROWS))))
+    shares = [k / (fan * fan) for k in range(fan * fan)]
+    found = docs.agg(F.percentile_approx("doc_id", shares, 50 * fan * fan).alias("ids")).first()["ids"] or []
+    return [found[k : k + fan] for k in range(0, len(found), fan)]
+
+
+def _bucket(id_: Column, bounds: list[list[int]]) -> Column:
+    """Number of the bucket that an id lies in, from 1; 0 for a null id or one below all bounds."""
+    at_most = lambda ids: F.size(F.filter(ids, lambda b: b <= id_))
+    longs = lambda ids: F.array(*[F.lit(x).cast("long") for x in ids])
+    coarse = at_most(longs([ids[0] for ids in bounds]))
+    inner = F.element_at(F.array(*[longs(ids) for ids in bounds]), F.greatest(coarse, F.lit(1)))
+    return F.when(coarse == 0, F.lit(0)).otherwise((coarse - 1) * F.lit(len(bounds[0])) + at_most(inner))
+
+
 def with_follower(docs: DataFrame, carried: list[str]) -> DataFrame:
     """Add ``next_<c>`` for every carried column: its value in the next document.
 
     Next is by ascending ``doc_id``; the last document is followed by the
     first.  Null ids come first; rows of equal id are ordered by the carried
-    columns.  Ids are dealt into buckets of equal width, about ``BUCKET_ROWS``
-    rows each where ids are evenly spread, and each bucket is ordered by
-    itself; only each bucket's first row goes on to the bucket before it.
+    columns.  Ids are dealt into buckets by their quantiles, so that uneven ids
+    give even buckets, and each bucket is ordered by itself; only each bucket's
+    first row goes on to the bucket before it.  There are ``FAN`` squared
+    buckets at most, whose numbers one task puts in order.
     """
-    stats = docs.agg(F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).first()
-    lo, hi = stats["lo"] or 0, stats["hi"] or 0
-    buckets = max(1, -(-stats["n"] // BUCKET_ROWS))
-    width = float(max(1, -(-(hi - lo + 1) // buckets)))
-    # Doubles round upwards or downwards alike, so the buckets keep the order of ids.
-    bucket = F.floor((F.col("doc_id").cast("double") - F.lit(float(lo))) / F.lit(width)).cast("long")
-    dealt = docs.withColumn("_bucket", F.coalesce(bucket, F.lit(-1)))
+    bounds = _bounds(docs, docs.count())
+    dealt = docs.withColumn("_bucket", F.when(F.col("doc_id").isNull(), F.lit(-1)).otherwise(_bucket(F.col("doc_id"), bounds) if bounds else F.lit(0)))
     inner = Window.partitionBy("_bucket").orderBy(F.col("doc_id").asc_nulls_first(), *[F.col(c).asc_nulls_first() for c in carried])
     row = F.struct(*carried)
     paired = dealt.withColumn("_next", F.lead(row).over(inner))
@@ -69,10 +85,8 @@ def with_follower(docs: DataFrame, carried: list[str]) -> DataFrame:
     by_bucket = Window.orderBy("_bucket")
     lowest = F.first("_bucket").over(by_bucket)
     chain = firsts.select("_bucket", F.coalesce(F.lead("_bucket").over(by_bucket), lowest).alias("_after"))
-    if buckets * 16 <= BROADCAST_BYTES:
-        firsts = F.broadcast(firsts)
     heads = (
-        dealt.join(firsts.withColumnRenamed("_bucket", "_b"), (F.col("_bucket") == F.col("_b")) & F.col("doc_id").eqNullSafe(F.col("_first")))
+        dealt.join(F.broadcast(firsts.withColumnRenamed("_bucket", "_b")), (F.col("_bucket") == F.col("_b")) & F.col("doc_id").eqNullSafe(F.col("_first")))
         .groupBy(F.col("_bucket").alias("_after"))
         .agg(F.min(row).alias("_head"))
     )
