@@ -11,8 +11,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidewatch.llm.common import materialise
+
 #: Rules up to this many bytes (of their plan-time text) are broadcast; more are joined by shuffle.
 BROADCAST_RULE_BYTES = 4 << 20
+#: About the bytes of a judged pair of a host and a path's start; few enough of them are broadcast, too.
+BEST_ROW_BYTES = 256
 #: Hexadecimal digits of the digest that the join compares.
 PREFIX_DIGITS = 8
 
@@ -102,6 +106,9 @@ def judge_urls(
         .groupBy("host", "_head")
         .agg(F.max(order).alias("_best"))
     )
+    best, _ = materialise(best, "url-rules", slim=True)
+    if best.count() * BEST_ROW_BYTES <= BROADCAST_RULE_BYTES:
+        best = F.broadcast(best)  # else a join that adaptive execution can split at a hot host
     return (
         keyed.join(best, ["host", "_head"], "left")
         .select(
