@@ -597,20 +597,14 @@ def _merge(component: DataFrame, links: DataFrame) -> DataFrame:
     return materialise(every.select("node", F.coalesce("now", "component").alias("component")), "component", slim=True)[0]
 
 
-def _apart(rows: DataFrame, component: DataFrame | None) -> DataFrame:
-    """The rows of shingles that more than one component shares, with the shingle's number of rows."""
-    if component is None:
-        named = rows.withColumn("component", F.col("node"))
-    else:
-        named = rows.join(_small(component, 32), "node", "left").withColumn("component", F.coalesce("component", "node"))
+def _tree_pairs(rows: DataFrame, component: DataFrame, corpus_nodes: DataFrame, keep_pairs: str) -> tuple[DataFrame, str]:
+    """Candidates of the shingles that more than one component shares, tree by tree."""
+    spark = rows.sparkSession
+    named = rows.join(_small(component, 32), "node", "left").withColumn("component", F.coalesce("component", "node"))
     named = named.select("token", "hub", "node", "short", "component")
     multi = named.groupBy("token").agg(F.min("component").alias("p"), F.max("component").alias("q"), F.count(F.lit(1)).alias("rows"))
-    return named.join(multi.where("p < q").select("token", "rows"), "token")
-
-
-def _tree_pairs(apart: DataFrame, corpus_nodes: DataFrame, keep_pairs: str) -> tuple[DataFrame, str]:
-    """Candidates of all shingles, tree by tree."""
-    spark = apart.sparkSession
+    multi, multi_path = materialise(multi.where("p < q").select("token", "rows"), "multi", slim=True)
+    apart = named.join(_small(multi, 24), "token")
     apart, path = materialise(apart, "apart")
     trees = max(1, -(-apart.count() // TREE_ROWS))
     involved, involved_path = materialise(apart.select("node").distinct(), "involved", slim=True)
@@ -634,7 +628,7 @@ def _tree_pairs(apart: DataFrame, corpus_nodes: DataFrame, keep_pairs: str) -> t
     placed = placed.join(corpus_nodes.join(_small(involved, 24), "node", "left_semi"), "node")
     pairs = placed.groupBy("hot", "tree", "i", "j").applyInPandas(_join_tree(keep_pairs), "a long, b long, p long, q long, more boolean")
     found = materialise(pairs, "pairs")
-    for p in (path, involved_path, hubs_path):
+    for p in (path, involved_path, hubs_path, multi_path):
         drop(spark, p)
     free_shuffles(spark)
     return found
@@ -697,7 +691,7 @@ def _components(corpus: _Corpus) -> DataFrame:
     # each round only for the components that had more pairs in the round before.
     scope, seen, paths = rows, None, []
     for keep_pairs in (OF_ONE, OF_TWO, ALL):
-        found, path = _tree_pairs(_apart(scope, component), nodes, keep_pairs)
+        found, path = _tree_pairs(scope, component, nodes, keep_pairs)
         paths.append(path)
         pairs = found.select("a", "b").distinct()
         links = _verify(pairs if seen is None else pairs.join(seen, ["a", "b"], "left_anti"), corpus)
