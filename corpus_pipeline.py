@@ -12,14 +12,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewatch.llm import mixing, ngram_join, pieces, quality_crf
-from tidewatch.llm.common import materialise, table
+from tidewatch.llm.common import drop, materialise, table
 from tidewatch.llm.queries import MIX_SHARE, MIX_WEIGHTS
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop the documents that the line field rejects (score below one half)."""
+    """Drop the documents that the line field rejects (score below one half).
+
+    A null or empty text is one empty line and is scored as such; null ids,
+    repeated rows and further columns change nothing, and further columns are
+    not returned.  The field is fitted on the labelled rows outside the
+    held-out third; without any, every document scores one half and stays.
+    """
     model = quality_crf.train(docs, table(spark, sf_dir, "labels"))
     score = quality_crf.scorer(model)
     return docs.select(*COLUMNS).withColumn("_score", score(F.col("text"))).where(F.col("_score") >= 0.5).drop("_score")
@@ -28,20 +34,43 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep one document of each group of near-duplicates: the one of smallest id.
 
-    Documents without an id stay; of rows with one id, all or none stay.
+    Rows without an id and rows that share one get ids of their own, above all
+    others, so of repeated rows one stays, too; a group with an id keeps a row
+    that has one.  A null or empty text is like no other and stays.  An empty
+    table gives an empty result.
     """
-    joined = ngram_join.join_documents(docs)
-    gone = joined.where(F.col("doc_id") != F.col("component_id")).select("doc_id").distinct()
-    return docs.select(*COLUMNS).join(gone, "doc_id", "left_anti").select(*COLUMNS)
+    rows = docs.select(*COLUMNS)
+    ids = rows.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"))
+    unclear, unclear_path = materialise(ids.where("n > 1 OR doc_id IS NULL").select(F.col("doc_id").alias("id"), F.lit(True).alias("unclear")), "unclear", slim=True)
+    if unclear.isEmpty():
+        drop(spark, unclear_path)
+        joined = ngram_join.join_documents(rows)
+        gone = joined.where(F.col("doc_id") != F.col("component_id")).select("doc_id")
+        return rows.join(gone, "doc_id", "left_anti").select(*COLUMNS)
+    marked = rows.join(unclear, F.col("doc_id").eqNullSafe(F.col("id")), "left").drop("id")
+    last = rows.agg(F.max("doc_id")).first()[0]
+    # Written once, so that a row keeps its number.
+    number = F.lit(max(last or 0, 0) + 1) + F.monotonically_increasing_id()
+    own, _ = materialise(marked.withColumn("number", F.when(F.col("unclear"), number).otherwise(F.col("doc_id"))).drop("unclear"), "numbered")
+    joined = ngram_join.join_documents(own, "number")
+    gone = joined.where(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("number"))
+    return own.join(gone, "number", "left_anti").select(*COLUMNS)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Take each document as often as the mix of sources says, none to twice."""
+    """Take each document as often as the mix of sources says, none to twice.
+
+    A null source is a source of its own; a null or empty text has no words and
+    is not taken; rows that are equal are taken alike.
+    """
     return mixing.repeat(mixing.mix(docs.select(*COLUMNS), MIX_WEIGHTS, MIX_SHARE)).select(*COLUMNS)
 
 
 def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Piece ids of every document of the mix, once for each time it is taken."""
+    """Piece ids of every document of the mix, once for each time it is taken.
+
+    A null or empty text has no ids; null ids and repeated rows stay.
+    """
     return pieces.encode_documents(docs, pieces.read_model())
 
 
@@ -57,10 +86,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``; each one's result is written and read again."""
-    docs = table(spark, sf_dir, "documents")
+    """All stages over ``documents``; each one's result is written and read again, the last but one's stays."""
+    docs, before = table(spark, sf_dir, "documents"), None
     for k, (_, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
         if k < len(STAGES) - 1:
-            docs, _ = materialise(docs, f"stage{k}")
+            docs, path = materialise(docs, f"stage{k}")
+            if before:
+                drop(spark, before)
+            before = path
     return docs
