@@ -10,21 +10,25 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def reports(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per reported device."""
-    line, part = load(spark, sf_dir, "lineitem"), load(spark, sf_dir, "part")
-    supplier, orders = load(spark, sf_dir, "supplier"), load(spark, sf_dir, "orders")
+def dated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The dates that the reports were received on, from their own table: what is latest needs no join."""
+    return load(spark, sf_dir, "lineitem").select(F.to_date("l_shipdate").alias("date_received"))
+
+
+def reports(spark: SparkSession, sf_dir: str, occurred: bool = False) -> DataFrame:
+    """One row per reported device; with ``occurred``, also the date of the event, which another table holds."""
+    line, part, supplier = load(spark, sf_dir, "lineitem"), load(spark, sf_dir, "part"), load(spark, sf_dir, "supplier")
     kind = F.col("p_type")
     harm = F.when(F.col("l_quantity") < 5, "Minor Injury").when(F.col("l_returnflag") == "R", "Death").when(F.col("l_returnflag") == "A", "Serious Injury").otherwise("No Harm")
+    rows = line.join(part, line["l_partkey"] == part["p_partkey"]).join(supplier, line["l_suppkey"] == supplier["s_suppkey"])
+    if occurred:
+        rows = rows.join(load(spark, sf_dir, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
     return (
-        line.join(part, line["l_partkey"] == part["p_partkey"])
-        .join(supplier, line["l_suppkey"] == supplier["s_suppkey"])
-        .join(orders, line["l_orderkey"] == orders["o_orderkey"])
-        .select(
+        rows.select(
             F.col("l_orderkey").alias("report_key"),
             F.col("l_linenumber").alias("line_number"),
             F.to_date("l_shipdate").alias("date_received"),
-            F.to_date("o_orderdate").alias("date_occurred"),
+            *([F.to_date("o_orderdate").alias("date_occurred")] if occurred else []),
             F.col("s_name").alias("manufacturer_name"),
             F.col("p_brand").alias("product_code"),
             F.when(kind == "PROMO", "Other").when(kind == "MEDIUM", "Unknown").otherwise(kind).alias("defect_type"),

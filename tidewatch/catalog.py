@@ -2,39 +2,21 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewatch.adapter import REPORTS_SQL, load, reports
+from tidewatch.adapter import dated, load, reports
 from tidewatch.functions import clean
 from tidewatch.functions import columns as col
 from tidewatch.functions.kernels import fuzzy_score
 from tidewatch.operators import clusters, extraction, flatten, matching, records
 from tidewatch.plans import explore, gold, spikes, stats
+from tidewatch.registry import ORACLE_SQL, QUERIES, query
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE_SQL: dict[str, str] = {}
-
-
-def query(name: str, sql: str | None = None, over_reports: bool = True):
-    """Register a query; its SQL may start from ``reports`` or, with ``WITH``, from further tables."""
-
-    def add(f):
-        QUERIES[name] = f
-        if sql is not None:
-            text = sql.strip()
-            if over_reports:
-                text = f"WITH {REPORTS_SQL}" + (f", {text[5:]}" if text[:5].upper() == "WITH " else f"\n{text}")
-            ORACLE_SQL[name] = text
-        return f
-
-    return add
-
+__all__ = ["ORACLE_SQL", "QUERIES", "flagship"]
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return gold.to_long(gold.cluster_monthly(reports(spark, sf_dir)), "CLUSTER", "cluster_id", "EVENT_CLUSTERED")
+    return gold.to_long(gold.cluster_monthly(reports(spark, sf_dir), dated=dated(spark, sf_dir)), "CLUSTER", "cluster_id", "EVENT_CLUSTERED")
 
 
 # --- monthly metrics -------------------------------------------------------------------------------
@@ -57,32 +39,45 @@ _CLUSTER = f"""{_COUNT} AS report_count, {_harm('Death', 'death_count')}, {_harm
   {_harm('No Apparent Injury', 'no_harm_count')}, {_SEVERE}, CAST(sum(CASE WHEN defect_confirmed THEN 1 ELSE 0 END) AS DOUBLE) AS defect_confirmed_count, {_CONFIRMED}"""
 for _w in gold.WINDOWS:
     query(f"g02_cluster_monthly_{_w}m", f"{_TRAILING.format(w=_w)} SELECT metric_date, manufacturer, CAST(cluster AS VARCHAR) AS cluster_id, {_CLUSTER} FROM both_ WHERE cluster <> -1 GROUP BY ALL")(
-        lambda s, d, w=_w: gold.cluster_monthly(reports(s, d), w)
+        lambda s, d, w=_w: gold.cluster_monthly(reports(s, d), w, dated(s, d))
     )
 query("g03_defect_monthly", f"{_TRAILING.format(w=12)} SELECT metric_date, manufacturer, defect_type, {_COUNT} AS report_count FROM both_ WHERE defect_type NOT IN ('Unknown', 'Other') GROUP BY ALL")(
-    lambda s, d: gold.defect_monthly(reports(s, d))
+    lambda s, d: gold.defect_monthly(reports(s, d), dated=dated(s, d))
 )
 query("g04_product_monthly", f"{_TRAILING.format(w=12)} SELECT metric_date, manufacturer, product_code, {_COUNT} AS report_count, {_harm('Death', 'death_count')}, {_SEVERE} FROM both_ GROUP BY ALL")(
-    lambda s, d: gold.product_monthly(reports(s, d))
+    lambda s, d: gold.product_monthly(reports(s, d), dated=dated(s, d))
 )
 query("g05_overview_monthly", f"{_TRAILING.format(w=12)} SELECT metric_date, manufacturer, {_COUNT} AS total_report_count, {_harm('Death', 'death_count')}, {_harm('Serious Injury', 'serious_injury_count')}, {_SEVERE}, {_CONFIRMED} FROM both_ GROUP BY ALL")(
-    lambda s, d: gold.overview_monthly(reports(s, d))
+    lambda s, d: gold.overview_monthly(reports(s, d), dated=dated(s, d))
 )
 query(
     "g10_product_long",
     f"""{_TRAILING.format(w=3)}, wide AS (SELECT metric_date, manufacturer, product_code, {_COUNT} AS report_count, {_harm('Death', 'death_count')}, {_SEVERE} FROM both_ GROUP BY ALL)
 SELECT metric_date, 'PRODUCT' AS grain, manufacturer, product_code AS entity_value, metric_name, metric_value, 'EVENT_CLUSTERED' AS source_table
 FROM (UNPIVOT wide ON report_count, death_count, severe_harm_rate INTO NAME metric_name VALUE metric_value)""",
-)(lambda s, d: gold.to_long(gold.product_monthly(reports(s, d), 3), "PRODUCT", "product_code", "EVENT_CLUSTERED"))
-query("m22_gold_tables", None)(lambda s, d: _gold_union(reports(s, d)))
+)(lambda s, d: gold.to_long(gold.product_monthly(reports(s, d), 3, dated(s, d)), "PRODUCT", "product_code", "EVENT_CLUSTERED"))
 
 
-def _gold_union(rows: DataFrame) -> DataFrame:
-    out = None
-    for name, t in gold.gold_tables(rows).items():
-        t = t.withColumn("table_name", F.lit(name))
-        out = t if out is None else out.unionByName(t)
-    return out
+def _gold_part(grain: str, entity: str, measures: str, where: str = "") -> str:
+    wide = f"SELECT metric_date, manufacturer, CAST({entity} AS VARCHAR) AS entity_value, {measures} FROM both_ {where} GROUP BY ALL"
+    return f"""SELECT metric_date, '{grain}' AS grain, manufacturer, entity_value, metric_name, metric_value, 'EVENT_CLUSTERED' AS source_table
+  FROM (UNPIVOT ({wide}) ON COLUMNS(* EXCLUDE (metric_date, manufacturer, entity_value)) INTO NAME metric_name VALUE metric_value)"""
+
+
+_PRODUCT = f"{_COUNT} AS report_count, {_harm('Death', 'death_count')}, {_SEVERE}"
+_OVERVIEW_MONTH = f"{_COUNT} AS total_report_count, {_harm('Death', 'death_count')}, {_harm('Serious Injury', 'serious_injury_count')}, {_SEVERE}, {_CONFIRMED}"
+_PARTS = [
+    _gold_part("CLUSTER", "cluster", _CLUSTER, "WHERE cluster <> -1"),
+    _gold_part("DEFECT", "defect_type", f"{_COUNT} AS report_count", "WHERE defect_type NOT IN ('Unknown', 'Other')"),
+    _gold_part("PRODUCT", "product_code", _PRODUCT),
+    _gold_part("OVERVIEW", "'ALL'", _OVERVIEW_MONTH),
+]
+query(
+    "m22_gold_tables",
+    f"""{_TRAILING.format(w=12)}, long_ AS ({' UNION ALL '.join(_PARTS)}), win AS (SELECT unnest([3, 6, 9, 12]) AS w),
+as_of AS (SELECT date_trunc('month', max(date_received)) AS m FROM reports)
+SELECT long_.*, grain || '_' || w || 'M_DASHBOARD' AS table_name FROM long_, win, as_of WHERE metric_date > m - to_months(CAST(w AS INT))""",
+)(lambda s, d: gold.gold_long(reports(s, d), dated=dated(s, d)))
 
 
 # --- spikes ----------------------------------------------------------------------------------------
@@ -105,17 +100,13 @@ query(
     "x01_x02_spike_scores",
     _SPIKES
     + """SELECT st."window", keyword, CAST(c_recent AS BIGINT) AS c_recent, CAST(c_base AS BIGINT) AS c_base, CAST(n_recent AS BIGINT) AS n_recent, CAST(n_base AS BIGINT) AS n_base,
-  round((c_recent + 1) / (c_base + 1) * ln(1 + c_recent), 4) + 0.0 AS score_log, round(ln((c_recent + 1) / (c_base + 1)) * ln(1 + c_recent), 4) + 0.0 AS score_ratio,
-  round((recent_mean - base_mean) / (base_std + 0.1), 4) + 0.0 AS z_score, round((ln(1 + c_recent) - log_base_mean) / (log_base_std + 0.1), 4) + 0.0 AS z_log
+  round_even((c_recent + 1) / (c_base + 1), 2) + 0.0 AS ratio, round_even((c_recent + 1) / (c_base + 1) * ln(1 + c_recent), 2) + 0.0 AS score_log, round_even((c_recent + 1) / (c_base + 1) * sqrt(c_recent), 2) + 0.0 AS score_sqrt,
+  round_even(ln((c_recent + 1) / (c_base + 1)) * ln(1 + c_recent), 2) + 0.0 AS score_ratio, round_even((recent_mean - base_mean) / (base_std + 0.1), 4) + 0.0 AS z_score, round_even((ln(1 + c_recent) - log_base_mean) / (log_base_std + 0.1), 4) + 0.0 AS z_log
 FROM st JOIN tot USING ("window")""",
 )(
-    lambda s, d: _spike_inputs(s, d).select(
-        "window", "keyword", "c_recent", "c_base", "n_recent", "n_base",
-        (F.round((F.col("c_recent") + 1) / (F.col("c_base") + 1) * F.log1p("c_recent"), 4) + 0.0).alias("score_log"),
-        (F.round(F.log((F.col("c_recent") + 1) / (F.col("c_base") + 1)) * F.log1p("c_recent"), 4) + 0.0).alias("score_ratio"),
-        (F.round((F.col("recent_mean") - F.col("base_mean")) / (F.col("base_std") + 0.1), 4) + 0.0).alias("z_score"),
-        (F.round((F.log1p("c_recent") - F.col("log_base_mean")) / (F.col("log_base_std") + 0.1), 4) + 0.0).alias("z_log"),
-    )
+    lambda s, d: spikes.zscore_metrics(spikes.ratio_metrics(_spike_inputs(s, d))).select(
+        "window", "keyword", "c_recent", "c_base", "n_recent", "n_base", *[(F.col(c) + 0.0).alias(c) for c in ("ratio", "score_log", "score_sqrt", "score_ratio", "z_score", "z_log")]
+    )
 )
 query(
     "x03_x04_poisson",
@@ -126,9 +117,60 @@ r AS (SELECT *, least(p_raw * count(*) OVER (PARTITION BY "window") / row_number
 SELECT "window", keyword, round(lam, 4) AS lambda_pois, round(p_raw, 4) AS p_pois,
   round(min(step) OVER (PARTITION BY "window" ORDER BY p_raw, keyword ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING), 4) AS p_adjusted FROM r""",
 )(lambda s, d: spikes.poisson_metrics(_spike_inputs(s, d)).select("window", "keyword", F.round("lambda_pois", 4).alias("lambda_pois"), F.round("p_pois", 4).alias("p_pois"), F.round("p_adjusted", 4).alias("p_adjusted")))
-query("m23_spikes")(lambda s, d: spikes.detect(reports(s, d), "product_code"))
-query("m25_spikes_dashboard")(lambda s, d: spikes.detect(reports(s, d), "defect_type", (1, 3), exclude=("Unknown", "Other"), z_column="z_log"))
-query("x06_ensemble")(lambda s, d: spikes.ensemble(spikes.detect(reports(s, d), "product_code"), 1))
+
+
+def _spikes_sql(keyword: str, windows: str, kept: str, total: str, family: str, z: str) -> str:
+    """All metrics and flags of the detection, from reports on."""
+    stat = lambda test, value: f"FILTER (WHERE {test})".join([f"coalesce({value} ", ", 0)"])
+    recent, base = "month <= m AND month > m - w", "month <= m - w AND month > m - 2 * w"
+    return f"""WITH rows_ AS (SELECT report_key, {keyword} AS keyword, year(date_received) * 12 + month(date_received) AS month FROM reports),
+each_ AS (SELECT keyword, month, count(DISTINCT report_key) AS n_reports FROM rows_ WHERE {kept} GROUP BY ALL), total AS (SELECT month, count(DISTINCT report_key) AS n_total FROM rows_ WHERE {total} GROUP BY ALL),
+latest AS (SELECT max(month) AS m FROM rows_), win AS (SELECT unnest({windows}) AS w),
+st AS (SELECT w AS "window", keyword, {stat(recent, 'sum(n_reports)')} AS c_recent, {stat(recent, 'avg(n_reports)')} AS recent_mean, {stat(base, 'sum(n_reports)')} AS c_base, {stat(base, 'avg(n_reports)')} AS base_mean,
+  {stat(base, 'stddev_samp(n_reports)')} AS base_std, {stat(base, 'avg(ln(1 + n_reports))')} AS log_base_mean, {stat(base, 'stddev_samp(ln(1 + n_reports))')} AS log_base_std FROM each_, latest, win GROUP BY ALL),
+tot AS (SELECT w AS "window", {stat(recent, 'sum(n_total)')} AS n_recent, {stat(base, 'sum(n_total)')} AS n_base FROM total, latest, win GROUP BY ALL),
+sc AS (SELECT *, round_even((c_recent + 1) / (c_base + 1), 2) AS ratio, round_even(ln((c_recent + 1) / (c_base + 1)) * ln(1 + c_recent), 2) AS score_ratio, round_even((recent_mean - base_mean) / (base_std + 0.1), 4) AS z_score,
+  round_even((ln(1 + c_recent) - log_base_mean) / (log_base_std + 0.1), 4) AS z_log, greatest(CASE WHEN n_base > 0 THEN c_base / n_base * n_recent ELSE 0.001 END, 0.001) AS lam FROM st JOIN tot USING ("window")),
+q AS (SELECT *, CASE WHEN c_recent > 0 THEN greatest(1 - list_sum(list_transform(range(CAST(c_recent AS BIGINT)), lambda k: exp(k * ln(lam) - lam - lgamma(k + 1)))), 1e-300) ELSE 1 END AS p_raw FROM sc),
+r AS (SELECT *, least(p_raw * count(*) OVER ({family}) / row_number() OVER ({family} ORDER BY p_raw, keyword, "window"), 1) AS step FROM q),
+adj AS (SELECT *, min(step) OVER ({family} ORDER BY p_raw, keyword, "window" ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS p_adj, avg(score_ratio) OVER (PARTITION BY "window") + 2 * stddev_samp(score_ratio) OVER (PARTITION BY "window") AS bound FROM r),
+f AS (SELECT *, c_recent > c_base AND c_recent >= 20 AS ready FROM adj),
+flags AS (SELECT *, coalesce(ready AND score_ratio >= bound, FALSE) AS is_spike, ready AND {z} >= 2 AS is_spike_z, ready AND round_even(p_adj, 6) <= 0.05 AS is_spike_p FROM f)
+SELECT "window", keyword, CAST(c_recent AS BIGINT) AS c_recent, CAST(c_base AS BIGINT) AS c_base, CAST(n_recent AS BIGINT) AS n_recent, CAST(n_base AS BIGINT) AS n_base, ratio + 0.0 AS ratio, score_ratio + 0.0 AS score_ratio, z_score + 0.0 AS z_score, z_log + 0.0 AS z_log,
+  round(lam, 4) AS lambda_pois, round(p_adj, 4) AS p_adjusted, is_spike, is_spike_z, is_spike_p, is_spike::INT + is_spike_z::INT + is_spike_p::INT AS spike_count,
+  CASE is_spike::INT + is_spike_z::INT + is_spike_p::INT WHEN 3 THEN 'severe' WHEN 2 THEN 'alert' WHEN 1 THEN 'attention' ELSE 'general' END AS pattern FROM flags"""
+
+
+def _shown(df: DataFrame) -> DataFrame:
+    """The columns of a detection that are compared, without negative zeros."""
+    return df.select(
+        "window", "keyword", "c_recent", "c_base", "n_recent", "n_base", *[(F.col(c) + 0.0).alias(c) for c in ("ratio", "score_ratio", "z_score", "z_log")],
+        F.round("lambda_pois", 4).alias("lambda_pois"), F.round("p_adjusted", 4).alias("p_adjusted"), "is_spike", "is_spike_z", "is_spike_p", "spike_count", "pattern",
+    )
+
+
+_M23 = _spikes_sql("product_code", "[1, 3, 6, 12]", "keyword IS NOT NULL", "keyword IS NOT NULL", 'PARTITION BY "window"', "z_score")
+query("m23_spikes", _M23)(lambda s, d: _shown(spikes.detect(reports(s, d), "product_code", dated=dated(s, d))))
+# The dashboard's twin: one family of p-values for both windows, totals over all reports, only null keywords left out.
+query("m25_spikes_dashboard", _spikes_sql("defect_type", "[1, 3]", "keyword IS NOT NULL", "TRUE", "", "z_log"))(
+    lambda s, d: _shown(spikes.detect_dashboard(reports(s, d), "defect_type", dated=dated(s, d)))
+)
+_LOOSE = _M23.replace("c_recent >= 20 AS ready", "c_recent >= 1 AS ready").replace(">= 2 AS is_spike_z", ">= 0.5 AS is_spike_z").replace("+ 2 * stddev_samp(score_ratio)", "+ 0.5 * stddev_samp(score_ratio)").replace("<= 0.05 AS is_spike_p", "<= 0.9 AS is_spike_p")
+_loose = lambda s, d: spikes.detect(reports(s, d), "product_code", dated=dated(s, d), z=0.5, least=1, alpha=0.9)  # noqa: E731  so that the small tables show some
+query("x06_ensemble", f"{_LOOSE} WHERE spike_count >= 1 AND \"window\" = 1")(lambda s, d: _shown(spikes.ensemble(_loose(s, d), 1, window=1)))
+query("o05_method_spikes", f"{_LOOSE} WHERE is_spike_z AND \"window\" = 3")(lambda s, d: _shown(spikes.by_method(_loose(s, d), "z", window=3)))
+_RESULT = _LOOSE.replace('SELECT "window", keyword, CAST(c_recent', ', result AS (SELECT "window", keyword, CAST(c_recent') + ")"
+query(
+    "o08_result_table",
+    _RESULT + """SELECT keyword, pattern, ratio, c_recent, c_recent - c_base AS increase, c_base, spike_count, is_spike, is_spike_z, is_spike_p
+FROM result WHERE pattern IN ('alert', 'attention') AND "window" = 1 ORDER BY ratio DESC, keyword LIMIT 10""",
+)(lambda s, d: spikes.result_table(_loose(s, d).where(F.col("window") == 1), ("alert", "attention"), 10).withColumn("ratio", F.col("ratio") + 0.0))
+query(
+    "g40_spike_summary",
+    _RESULT + """SELECT count(*) AS n, count(*) FILTER (spike_count >= 1) AS spikes, count(*) FILTER (pattern = 'severe') AS severe, count(*) FILTER (pattern = 'alert') AS alert, count(*) FILTER (pattern = 'attention') AS attention,
+  count(*) FILTER (pattern = 'general') AS general, round(avg(spike_count) FILTER (spike_count >= 1), 4) AS mean_methods, max(ratio) FILTER (spike_count >= 1) AS largest_ratio,
+  (SELECT keyword FROM result WHERE spike_count >= 1 ORDER BY ratio DESC, keyword, "window" LIMIT 1) AS largest, count(*) FILTER (spike_count >= 1 AND c_base < 5) AS new_spikes FROM result""",
+)(lambda s, d: spikes.summary(_loose(s, d), least=1))
 query(
     "w13_rolling_baseline",
     """WITH months AS (SELECT product_code AS keyword, year(date_received) * 12 + month(date_received) AS month, count(DISTINCT report_key) AS n_reports FROM reports GROUP BY ALL),
@@ -139,9 +181,7 @@ SELECT *, coalesce(round((n_reports + 1) / (baseline + 1), 6), 1.0) AS ratio FRO
 
 
 def _spike_inputs(s: SparkSession, d: str) -> DataFrame:
-    rows = reports(s, d)
-    as_of = rows.agg(F.max(col.month_index(F.col("date_received")))).first()[0]
-    return spikes.window_stats(spikes.keyword_months(rows, "product_code"), (1, 3, 6, 12), as_of)
+    return spikes.window_stats(spikes.keyword_months(reports(s, d), "product_code"), (1, 3, 6, 12), spikes.latest_month(dated(s, d)))
 
 
 # --- contingency -----------------------------------------------------------------------------------
@@ -149,6 +189,27 @@ def _spike_inputs(s: SparkSession, d: str) -> DataFrame:
 _CELLS = """WITH o AS (SELECT product_code AS r, defect_type AS c, count(*) AS observed FROM reports GROUP BY ALL),
 cells AS (SELECT *, sum(observed) OVER (PARTITION BY r) AS row_total, sum(observed) OVER (PARTITION BY c) AS col_total, sum(observed) OVER () AS n FROM o)
 """
+_EFFECT = "CASE WHEN v < 0.1 THEN 'Very Weak' WHEN v < 0.3 THEN 'Weak' WHEN v < 0.5 THEN 'Moderate' ELSE 'Strong' END"
+
+
+def _chi2_tail(x: str, df: str) -> str:
+    """The upper tail of the chi-square law (1 to 60 degrees) by Simpson's rule over t = u * u, where the density is smooth."""
+    at = f"(sqrt({x}) * i / 4000)"
+    density = f"2 * pow({at}, {df} - 1) * exp(-{at} * {at} / 2) / (pow(2, {df} / 2.0) * gamma({df} / 2.0))"
+    return f"greatest(0, 1 - list_sum(list_transform(range(4001), lambda i: (CASE WHEN i IN (0, 4000) THEN 1 WHEN i % 2 = 1 THEN 4 ELSE 2 END) * {density})) * sqrt({x}) / 12000)"
+
+
+_CHOOSE = lambda n, k: f"(lgamma({n} + 1) - lgamma({k} + 1) - lgamma({n} - ({k}) + 1))"
+
+
+def _fisher(a: str, b: str, c: str, d: str) -> str:
+    """Two-sided p of a 2 x 2 table from its hypergeometric law; a margin of zero gives 1."""
+    row, column, n = f"({a} + {b})", f"({a} + {c})", f"({a} + {b} + {c} + {d})"
+    log_p = lambda k: f"({_CHOOSE(column, k).replace(f'lgamma({column} - ({k}) + 1)', f'lgamma({column} - {k} + 1)')} + {_CHOOSE(f'({n} - {column})', f'({row} - {k})')} - {_CHOOSE(n, row)})"
+    tables = f"range(CAST(greatest(0, {row} + {column} - {n}) AS BIGINT), CAST(least({row}, {column}) AS BIGINT) + 1)"
+    return f"least(1, list_sum(list_transform(list_filter({tables}, lambda k: {log_p('k')} <= {log_p(a)} + 1e-7), lambda k: exp({log_p('k')}))))"
+
+
 query("g15_g16_contingency", _CELLS + "SELECT r, c, observed, CAST(row_total AS BIGINT) AS row_total, CAST(col_total AS BIGINT) AS col_total, CAST(n AS BIGINT) AS n FROM cells")(
     lambda s, d: _cells(s, d)
 )
@@ -158,16 +219,21 @@ query("x07_chi2_cells", _CELLS + "SELECT r, c, round(row_total * col_total / n,
 query(
     "x07_chi2_by_row",
     _CELLS
-    + """, g AS (SELECT x.r, y.c, x.row_total, y.col_total, x.n, coalesce(z.observed, 0) AS o FROM (SELECT DISTINCT r, row_total, n FROM cells) x CROSS JOIN (SELECT DISTINCT c, col_total FROM cells) y LEFT JOIN cells z ON z.r = x.r AND z.c = y.c)
-SELECT r, round(sum(pow(o - row_total * col_total / n, 2) / (row_total * col_total / n) + pow(col_total - o - (n - row_total) * col_total / n, 2) / ((n - row_total) * col_total / n)), 4) AS chi2, count(*) - 1 AS df FROM g GROUP BY r""",
-)(lambda s, d: stats.chi2_by_row(_cells(s, d)).select("r", F.round("chi2", 4).alias("chi2"), "df"))
+    + f""", g AS (SELECT x.r, y.c, x.row_total, y.col_total, x.n, coalesce(z.observed, 0) AS o FROM (SELECT DISTINCT r, row_total, n FROM cells) x CROSS JOIN (SELECT DISTINCT c, col_total FROM cells) y LEFT JOIN cells z ON z.r = x.r AND z.c = y.c)
+SELECT r, round(chi2, 4) AS chi2, df, n, round(v, 6) AS cramers_v, {_EFFECT} AS effect, round({_chi2_tail('chi2', 'df')}, 6) AS p FROM (SELECT *, sqrt(chi2 / n) AS v FROM (
+  SELECT r, sum(pow(o - row_total * col_total / n, 2) / (row_total * col_total / n) + pow(col_total - o - (n - row_total) * col_total / n, 2) / ((n - row_total) * col_total / n)) AS chi2, count(*) - 1 AS df, CAST(max(n) AS BIGINT) AS n FROM g GROUP BY r))""",
+)(lambda s, d: stats.chi2_by_row(_cells(s, d)).select("r", F.round("chi2", 4).alias("chi2"), "df", "n", F.round("cramers_v", 6).alias("cramers_v"), "effect", F.round("p", 6).alias("p")))
 query(
     "x10_chi2_global",
     _CELLS
-    + """, g AS (SELECT x.row_total * y.col_total / x.n AS e, coalesce(z.observed, 0) AS o, x.n FROM (SELECT DISTINCT r, row_total, n FROM cells) x CROSS JOIN (SELECT DISTINCT c, col_total FROM cells) y LEFT JOIN cells z ON z.r = x.r AND z.c = y.c),
+    + f""", g AS (SELECT x.row_total * y.col_total / x.n AS e, coalesce(z.observed, 0) AS o, x.n FROM (SELECT DISTINCT r, row_total, n FROM cells) x CROSS JOIN (SELECT DISTINCT c, col_total FROM cells) y LEFT JOIN cells z ON z.r = x.r AND z.c = y.c),
 t AS (SELECT sum(pow(o - e, 2) / e) AS chi2, max(n) AS n FROM g), k AS (SELECT count(DISTINCT r) AS r, count(DISTINCT c) AS c FROM cells)
-SELECT round(chi2, 4) AS chi2, (r - 1) * (c - 1) AS df, round(sqrt(chi2 / (n * least(r - 1, c - 1))), 6) AS cramers_v FROM t, k""",
-)(lambda s, d: stats.chi2_global(_cells(s, d)).select(F.round("chi2", 4).alias("chi2"), "df", F.round("cramers_v", 6).alias("cramers_v")))
+SELECT round(chi2, 4) AS chi2, df, round(v, 6) AS cramers_v, {_EFFECT} AS effect,
+  CASE WHEN df = 1 THEN CASE WHEN chi2 > 10.83 THEN 0.001 WHEN chi2 > 7.88 THEN 0.005 WHEN chi2 > 6.63 THEN 0.01 WHEN chi2 > 3.84 THEN 0.05 ELSE 0.10 END
+    WHEN df = 2 THEN CASE WHEN chi2 > 13.82 THEN 0.001 WHEN chi2 > 10.60 THEN 0.005 WHEN chi2 > 9.21 THEN 0.01 WHEN chi2 > 5.99 THEN 0.05 ELSE 0.10 END
+    WHEN df >= 3 THEN CASE WHEN chi2 > df + 3 * sqrt(2.0 * df) THEN 0.001 WHEN chi2 > df + 2.5 * sqrt(2.0 * df) THEN 0.01 WHEN chi2 > df + 2 * sqrt(2.0 * df) THEN 0.05 ELSE 0.10 END END::DOUBLE AS p_step
+FROM (SELECT chi2, (r - 1) * (c - 1) AS df, sqrt(chi2 / (n * least(r - 1, c - 1))) AS v FROM t, k)""",
+)(lambda s, d: stats.chi2_global(_cells(s, d)).select(F.round("chi2", 4).alias("chi2"), "df", F.round("cramers_v", 6).alias("cramers_v"), "effect", stats.step_p(F.col("chi2"), F.col("df")).alias("p_step")))
 query(
     "x11_odds_corrected",
     _CELLS
@@ -177,13 +243,62 @@ SELECT r, c, round((a + 0.5) * (d + 0.5) / ((b + 0.5) * (c_ + 0.5)), 6) AS odds_
 query(
     "x08_odds_ratios",
     _CELLS
-    + """, t AS (SELECT r, c, observed AS a, row_total - observed AS b, col_total - observed AS c_, n - row_total - col_total + observed AS d FROM cells),
+    + f""", t AS (SELECT r, c, observed AS a, row_total - observed AS b, col_total - observed AS c_, n - row_total - col_total + observed AS d FROM cells),
 u AS (SELECT *, CAST(a AS DOUBLE) * d / (CAST(b AS DOUBLE) * c_) AS odds, sqrt(1 / a + 1 / b + 1 / c_ + 1 / d) AS se FROM t WHERE least(a, b, c_, d) >= 3)
-SELECT r, c, round(odds, 6) AS odds_ratio, round(exp(ln(odds) - 1.96 * se), 6) AS ci_low, round(exp(ln(odds) + 1.96 * se), 6) AS ci_high FROM u""",
-)(lambda s, d: stats.odds_ratios(_cells(s, d)).select("r", "c", *[F.round(x, 6).alias(x) for x in ("odds_ratio", "ci_low", "ci_high")]))
-query("x09_false_discovery")(lambda s, d: stats.false_discovery(stats.odds_ratios(_cells(s, d)), ties=("r", "c")))
-query("x12_false_discovery_plain")(lambda s, d: stats.false_discovery(stats.odds_ratios(_cells(s, d)), monotone=False, ties=("r", "c")))
-query("m24_statistics")(lambda s, d: stats.false_discovery(stats.chi2_by_row(_cells(s, d)), ties=("r",)))
+SELECT r, c, round(odds, 6) AS odds_ratio, round(exp(ln(odds) - 1.96 * se), 6) AS ci_low, round(exp(ln(odds) + 1.96 * se), 6) AS ci_high, round({_fisher('a', 'b', 'c_', 'd')}, 6) AS p FROM u""",
+)(lambda s, d: stats.odds_ratios(_cells(s, d)).select("r", "c", *[F.round(x, 6).alias(x) for x in ("odds_ratio", "ci_low", "ci_high", "p")]))
+
+
+def _discovery_sql(inputs: str, keys: str, monotone: bool = True, alpha: float = 0.05) -> str:
+    """False discovery over the rows of ``inputs`` (its keys and ``p``); equal p-values share what they give."""
+    adjusted = "min(step) OVER (ORDER BY p, {0} ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)".format(keys) if monotone else "step"
+    return f"""{inputs}, st AS (SELECT *, row_number() OVER (ORDER BY p, {keys}) AS rank, count(*) OVER () AS m FROM ps WHERE p IS NOT NULL),
+bh AS (SELECT *, least(p * m / rank, 1) AS step FROM st), adj AS (SELECT *, {adjusted} AS p_adj FROM bh)
+SELECT {keys}, round(p, 6) AS p, rank, round(p_adj, 6) AS p_adjusted, p_adj <= {alpha} AS significant, p < {alpha} AS significant_raw FROM adj"""
+
+
+_ODDS_P = _CELLS + f""", t AS (SELECT r, c, observed AS a, row_total - observed AS b, col_total - observed AS c_, n - row_total - col_total + observed AS d FROM cells),
+ps AS (SELECT r, c, {_fisher('a', 'b', 'c_', 'd')} AS p FROM t WHERE least(a, b, c_, d) >= 3)"""
+_ROW_P = _CELLS + f""", g AS (SELECT x.r, y.c, x.row_total, y.col_total, x.n, coalesce(z.observed, 0) AS o FROM (SELECT DISTINCT r, row_total, n FROM cells) x CROSS JOIN (SELECT DISTINCT c, col_total FROM cells) y LEFT JOIN cells z ON z.r = x.r AND z.c = y.c),
+ch AS (SELECT r, sum(pow(o - row_total * col_total / n, 2) / (row_total * col_total / n) + pow(col_total - o - (n - row_total) * col_total / n, 2) / ((n - row_total) * col_total / n)) AS chi2, count(*) - 1 AS df FROM g GROUP BY r),
+ps AS (SELECT r, {_chi2_tail('chi2', 'df')} AS p FROM ch)"""
+
+
+def _found(df: DataFrame, *keys: str) -> DataFrame:
+    return df.select(*keys, F.round("p", 6).alias("p"), F.col("rank").cast("long").alias("rank"), F.round("p_adjusted", 6).alias("p_adjusted"), "significant", "significant_raw")
+
+
+query("x09_false_discovery", _discovery_sql(_ODDS_P, "r, c", alpha=0.9))(lambda s, d: _found(stats.false_discovery(stats.odds_ratios(_cells(s, d)), alpha=0.9, ties=("r", "c")), "r", "c"))
+query("x12_false_discovery_plain", _discovery_sql(_ODDS_P, "r, c", monotone=False))(lambda s, d: _found(stats.false_discovery(stats.odds_ratios(_cells(s, d)), monotone=False, ties=("r", "c")), "r", "c"))
+query("m24_statistics", _discovery_sql(_ROW_P, "r"))(lambda s, d: _found(stats.false_discovery(stats.chi2_by_row(_cells(s, d)), ties=("r",)), "r"))
+query(
+    "x13_full_analysis",
+    _discovery_sql(
+        _CELLS
+        + f""", t AS (SELECT r, c, observed AS a, row_total - observed AS b, col_total - observed AS c_, n - row_total - col_total + observed AS d FROM cells),
+y AS (SELECT r, c, (a + b + c_ + d) * pow(greatest(abs(CAST(a AS DOUBLE) * d - CAST(b AS DOUBLE) * c_) - (a + b + c_ + d) / 2, 0), 2) / (CAST(a + b AS DOUBLE) * (c_ + d) * (a + c_) * (b + d)) AS x FROM t WHERE least(a, b, c_, d) >= 3),
+ps AS (SELECT r, c, {_chi2_tail('x', '1')} AS p FROM y)""",
+        "r, c", monotone=False,
+    ),
+)(lambda s, d: _found(stats.full_analysis(reports(s, d), "product_code", "defect_type")["final"], "r", "c"))
+query(
+    "x15_x16_compare_rates",
+    f"""WITH f AS (SELECT manufacturer_name, count(*) AS n, sum((patient_harm = 'Death')::INT) AS k FROM reports GROUP BY ALL), w AS (SELECT sum(n) AS n_all, sum(k) AS k_all FROM f),
+t AS (SELECT manufacturer_name, k::DOUBLE AS a, (n - k)::DOUBLE AS b, (k_all - k)::DOUBLE AS c, (n_all - n - k_all + k)::DOUBLE AS d FROM f, w), x AS (SELECT *, (a + b + c + d) * pow(greatest(abs(a * d - b * c) - (a + b + c + d) / 2, 0), 2) / nullif((a + b) * (c + d) * (a + c) * (b + d), 0) AS chi2 FROM t),
+y AS (SELECT manufacturer_name, chi2, {_chi2_tail('chi2', '1')} AS p FROM x)
+SELECT manufacturer_name, round(chi2, 6) AS chi2, round(p, 6) AS p, CASE WHEN p < 0.001 THEN '***' WHEN p < 0.01 THEN '**' WHEN p < 0.05 THEN '*' ELSE '' END AS stars,
+  CASE WHEN p < 0.001 THEN '매우 유의함 (p < 0.001)' WHEN p < 0.01 THEN '유의함 (p < 0.01)' WHEN p < 0.05 THEN '유의함 (p < 0.05)' ELSE '유의하지 않음 (p ≥ 0.05)' END AS meaning FROM y""",
+)(lambda s, d: _rates(s, d))
+
+
+def _rates(s: SparkSession, d: str) -> DataFrame:
+    own = explore.fatality(reports(s, d), "manufacturer_name").select("manufacturer_name", "deaths", "total")
+    whole = F.broadcast(own.agg(F.sum("deaths").alias("k"), F.sum("total").alias("n")))
+    rest = own.crossJoin(whole).withColumns({"rest_deaths": F.col("k") - F.col("deaths"), "rest_total": F.col("n") - F.col("total")})
+    found = stats.compare_rates(rest, "deaths", "total", "rest_deaths", "rest_total")
+    return found.select("manufacturer_name", F.round("chi2", 6).alias("chi2"), F.round("p", 6).alias("p"), "stars", "meaning")
+
+
 query(
     "x17_wilson",
     """WITH f AS (SELECT manufacturer_name, count(*) AS n, sum(CASE WHEN patient_harm = 'Death' THEN 1 ELSE 0 END) AS k FROM reports GROUP BY ALL),
@@ -201,18 +316,12 @@ def _cells(s: SparkSession, d: str) -> DataFrame:
     return stats.contingency(reports(s, d), "product_code", "defect_type")
 
 
-@query("x14_fisher_fatality")
-def x14(s: SparkSession, d: str) -> DataFrame:
-    from pyspark.sql import Window
-
-    from tidewatch.functions.kernels import fisher_p
-
-    shown = explore.fatality(reports(s, d), "manufacturer_name", top=10)
-    w = Window.partitionBy(F.lit(0))  # ten rows
-    rest, all_ = F.sum("deaths").over(w) - F.col("deaths"), F.sum("total").over(w) - F.col("total")
-    t = shown.select("manufacturer_name", F.col("deaths").alias("a"), (F.col("total") - F.col("deaths")).alias("b"), rest.alias("c"), (all_ - rest).alias("d"))
-    return t.withColumn("p", fisher_p("a", "b", "c", "d")).withColumn("stars", stats.stars(F.col("p")))
-
+query(
+    "x14_fisher_fatality",
+    f"""WITH f AS (SELECT manufacturer_name, count(*) AS n, sum((patient_harm = 'Death')::INT) AS k, round(100.0 * sum((patient_harm = 'Death')::INT) / count(*), 2) AS cfr FROM reports GROUP BY ALL ORDER BY cfr DESC, manufacturer_name LIMIT 10),
+t AS (SELECT manufacturer_name, CAST(k AS BIGINT) AS a, CAST(n - k AS BIGINT) AS b, CAST(sum(k) OVER () - k AS BIGINT) AS c, CAST(sum(n) OVER () - n - (sum(k) OVER () - k) AS BIGINT) AS d FROM f), u AS (SELECT *, {_fisher('a', 'b', 'c', 'd')} AS p FROM t)
+SELECT manufacturer_name, a, b, c, d, round(p, 6) AS p, CASE WHEN p < 0.001 THEN '***' WHEN p < 0.01 THEN '**' WHEN p < 0.05 THEN '*' ELSE '' END AS stars FROM u""",
+)(lambda s, d: stats.fisher_among(explore.fatality(reports(s, d), "manufacturer_name", top=10), "manufacturer_name"))
 
 # --- exploration -----------------------------------------------------------------------------------
 
@@ -242,7 +351,7 @@ query(
     )
 )
 query("p24_representative_date", "SELECT report_key, line_number, coalesce(date_occurred, date_received) AS event_date FROM reports")(
-    lambda s, d: reports(s, d).select("report_key", "line_number", F.coalesce("date_occurred", "date_received").alias("event_date"))
+    lambda s, d: reports(s, d, occurred=True).select("report_key", "line_number", F.coalesce("date_occurred", "date_received").alias("event_date"))
 )
 query("g17_counts_top", "SELECT product_code, defect_type, count(*) AS total_count FROM reports GROUP BY ALL ORDER BY total_count DESC, product_code, defect_type LIMIT 20")(lambda s, d: explore.counts(reports(s, d), ["product_code", "defect_type"], 20))
 query("g18_monthly_counts", "SELECT CAST(date_trunc('month', date_received) AS DATE) AS month, product_code, count(*) AS total_count FROM reports GROUP BY ALL")(lambda s, d: explore.monthly(reports(s, d), ["product_code"]))
@@ -312,7 +421,7 @@ query("w02_beyond_first", "SELECT o_orderkey FROM (SELECT o_orderkey, row_number
     lambda s, d: records.beyond_first(load(s, d, "orders"), ["o_custkey", "o_orderstatus", "o_orderpriority"], [F.asc("o_orderkey")]).select("o_orderkey")
 )
 query("w04_distinct_over", "SELECT report_key, line_number, CAST(len(list_distinct(list(manufacturer_name) OVER (PARTITION BY product_code, catalog_number))) AS INT) AS makers FROM reports")(
-    lambda s, d: reports(s, d).select("report_key", "line_number", col.count_distinct_over(F.col("manufacturer_name"), ["product_code", "catalog_number"]).alias("makers"))
+    lambda s, d: col.count_distinct_over(reports(s, d), "manufacturer_name", ["product_code", "catalog_number"], "makers").select("report_key", "line_number", "makers")
 )
 query("j10_anti", "SELECT c_custkey FROM customer WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_orderstatus = 'P')", over_reports=False)(
     lambda s, d: records.without(load(s, d, "customer"), load(s, d, "orders").where("o_orderstatus = 'P'").select(F.col("o_custkey").alias("c_custkey")), ["c_custkey"]).select("c_custkey")
@@ -457,7 +566,11 @@ FROM t LEFT JOIN direct ON t.udi_di = direct.udi LEFT JOIN amb ON t.udi_di = amb
 UNION ALL SELECT report_key, line_number, prim, CASE WHEN prim IS NULL THEN 'NO MATCH' ELSE 'NO UDI META SUCCESS' END, CASE WHEN prim IS NULL THEN 'VERY LOW' ELSE 'LOW' END
 FROM t LEFT JOIN meta ON t.manufacturer = meta.manufacturer AND t.model_number IS NOT DISTINCT FROM meta.model_number AND t.catalog_number IS NOT DISTINCT FROM meta.catalog_number WHERE t.udi_di IS NULL""",
 )(lambda s, d: matching.match_identifiers(*_match_inputs(s, d), ["model_number", "catalog_number"]).select("report_key", "line_number", "matched_udi_di", "match_status", "match_confidence"))
-query("m17_centroids")(lambda s, d: clusters.centroids(load(s, d, "embeddings"), "embedding", "label"))
+query(
+    "m17_centroids",
+    "SELECT label, CAST(pos - 1 AS INT) AS pos, round(avg(x), 5) + 0.0 AS value FROM (SELECT label, unnest(embedding)::DOUBLE AS x, generate_subscripts(embedding, 1) AS pos FROM embeddings) WHERE label <> -1 GROUP BY ALL",
+    over_reports=False,
+)(lambda s, d: clusters.centroids(load(s, d, "embeddings"), "embedding", "label").select("label", F.posexplode("centroid").alias("pos", "value")).withColumn("value", F.round("value", 5) + 0.0))
 query(
     "m16_nearest",
     """WITH x AS (SELECT vec_id, label, unnest(embedding)::DOUBLE AS x, generate_subscripts(embedding, 1) AS pos FROM embeddings), c AS (SELECT label AS cl, pos, avg(x) AS c FROM x WHERE label <> -1 GROUP BY ALL),
@@ -471,8 +584,27 @@ query(
 one AS (SELECT count(*) AS k, sum(-p * ln(p)) AS e, max(p) AS max_ratio, sum(rank * n) AS ranked, sum(n) AS s FROM o)
 SELECT k, round(noise / a, 6) AS noise_ratio, round(e / ln(k), 6) AS entropy, round(2 * ranked / (k * s) - (k + 1) / k, 6) AS gini, round(max_ratio, 6) AS max_ratio FROM one, t""",
 )(lambda s, d: clusters.cluster_quality(reports(s, d), "cluster").select("k", *[F.round(c, 6).alias(c) for c in ("noise_ratio", "entropy", "gini", "max_ratio")]))
-query("m15_features")(lambda s, d: clusters.standardise(load(s, d, "embeddings"), "embedding", {"label": [0, 1, 2]}, 0.5).select("vec_id", "features"))
-query("m19_separation")(lambda s, d: clusters.separation(load(s, d, "embeddings"), "embedding", "label"))
+_VECTORS = "e AS (SELECT vec_id, label, list_transform(embedding, lambda x: x::DOUBLE) AS v FROM embeddings WHERE label <> -1)"
+_LONG = "x AS (SELECT vec_id, label, unnest(embedding)::DOUBLE AS x, generate_subscripts(embedding, 1) - 1 AS pos FROM embeddings)"
+query(
+    "m15_features",
+    f"""WITH {_LONG}, st AS (SELECT pos, avg(x) AS m, stddev_pop(x) AS s, count(*) AS n FROM x GROUP BY pos), k AS (SELECT count(*) AS dims FROM st)
+SELECT vec_id, CAST(pos AS INT) AS pos, round(CASE WHEN s > 0 THEN (x - m) / s ELSE 0 END, 5) + 0.0 AS value FROM x JOIN st USING (pos)
+UNION ALL SELECT vec_id, CAST(dims + i AS INT), CASE WHEN label = i THEN 0.5 ELSE 0 END FROM embeddings, k, (SELECT unnest([0, 1, 2]) AS i)""",
+    over_reports=False,
+)(lambda s, d: clusters.standardise(load(s, d, "embeddings"), "embedding", {"label": [0, 1, 2]}, 0.5).select("vec_id", F.posexplode("features").alias("pos", "value")).withColumn("value", F.round("value", 5) + 0.0))
+query(
+    "m19_separation",
+    f"""WITH {_VECTORS}, {_LONG}, cl AS (SELECT label, pos, avg(x) AS c FROM x WHERE label <> -1 GROUP BY ALL), ct AS (SELECT label, list(c ORDER BY pos) AS c FROM cl GROUP BY label),
+inner_ AS (SELECT e.label, list_distance(v, c) AS d FROM e JOIN ct USING (label)), w AS (SELECT sum(d * d) AS w, count(*) AS n, count(DISTINCT label) AS k FROM inner_),
+whole AS (SELECT sum(q) AS t FROM (SELECT var_pop(x) * count(*) AS q FROM x WHERE label <> -1 GROUP BY pos)), s AS (SELECT label, avg(d) AS s FROM inner_ GROUP BY label),
+r AS (SELECT a.label, max((sa.s + sb.s) / list_distance(a.c, b.c)) AS r FROM ct a JOIN ct b ON a.label <> b.label JOIN s sa ON sa.label = a.label JOIN s sb ON sb.label = b.label GROUP BY a.label),
+p AS (SELECT a.vec_id, a.label AS own, b.label AS other, sum(list_distance(a.v, b.v)) AS d, count(*) AS n FROM e a, e b GROUP BY ALL),
+si AS (SELECT vec_id, max(d / nullif(n - 1, 0)) FILTER (own = other) AS a, min(d / n) FILTER (own <> other) AS b, max(n) FILTER (own = other) AS m FROM p GROUP BY vec_id)
+SELECT round((t - w) / (k - 1) / (w / (n - k)), 4) AS calinski_harabasz, round(w / n, 4) AS within, (SELECT round(avg(r), 4) FROM r) AS davies_bouldin,
+  (SELECT round(avg(CASE WHEN m = 1 OR greatest(a, b) = 0 THEN 0 ELSE (b - a) / greatest(a, b) END), 4) FROM si) AS silhouette FROM w, whole""",
+    over_reports=False,
+)(lambda s, d: clusters.separation(load(s, d, "embeddings"), "embedding", "label").select(*[F.round(c, 4).alias(c) for c in ("calinski_harabasz", "within", "davies_bouldin", "silhouette")]))
 query("m20_cluster_score")(lambda s, d: clusters.composite_score(clusters.cluster_quality(load(s, d, "embeddings"), "label").crossJoin(clusters.silhouette(load(s, d, "embeddings"), "embedding", "label"))))
 query("m09_m11_extraction")(
     lambda s, d: extraction.as_rows(extraction.validated(extraction.extract(extraction.candidates(load(s, d, "conversations").select("text"), load(s, d, "conversations").where("turn = 0").select("text"), "text"), "text")), "text")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -82,9 +83,14 @@ def qualify(df: DataFrame, keys: Sequence[str], order: Sequence[Column], k: int
     return df.withColumn("_k", number).where(F.col("_k") <= k).drop("_k")
 
 
-def count_distinct_over(column: Column, keys: Sequence[str]) -> Column:
-    """``COUNT(DISTINCT column) OVER (PARTITION BY keys)``; nulls do not count."""
-    return F.size(F.collect_set(column).over(Window.partitionBy(*keys)))
+def count_distinct_over(df: DataFrame, column: str, keys: Sequence[str], out: str) -> DataFrame:
+    """``COUNT(DISTINCT column) OVER (PARTITION BY keys)`` as a column; nulls do not count, null keys are a key.
+
+    An aggregate joined back: no task holds the set of a key's values.
+    """
+    counts = df.groupBy(*[F.col(k).alias(f"_{k}") for k in keys]).agg(F.countDistinct(column).cast("int").alias(out))
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys])
+    return df.join(counts, same).drop(*[f"_{k}" for k in keys])
 
 
 def select_distinct(df: DataFrame, columns: Sequence[tuple[str, str]]) -> DataFrame:

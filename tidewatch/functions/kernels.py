@@ -30,11 +30,35 @@ def fuzzy_score(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([indel_ratio(x.upper(), y.upper()) if isinstance(x, str) and isinstance(y, str) else 0.0 for x, y in zip(a, b, strict=True)], dtype="float64")
 
 
+def gamma_upper(s: float, z: float) -> float:
+    """The regularised upper incomplete gamma function."""
+    if z <= 0:
+        return 1.0
+    scale = math.exp(s * math.log(z) - z - math.lgamma(s))
+    if z < s + 1:
+        term = total = 1 / s
+        k = s
+        while abs(term) > 1e-16 * abs(total):
+            k += 1
+            term *= z / k
+            total += term
+        return max(0.0, 1 - total * scale)
+    b, c, d = z + 1 - s, 1e300, 1 / (z + 1 - s)
+    h = d
+    for i in range(1, 100_000):
+        an = -i * (i - s)
+        b += 2
+        d = 1 / (an * d + b)
+        c = b + an / c
+        h *= d * c
+        if abs(d * c - 1) < 1e-15:
+            break
+    return scale * h
+
+
 def poisson_cdf(k: int, rate: float) -> float:
-    """P(X <= k), summed in log space."""
-    if k < 0:
-        return 0.0
-    return min(1.0, math.fsum(math.exp(i * math.log(rate) - rate - math.lgamma(i + 1)) for i in range(int(k) + 1)))
+    """P(X <= k); the number of steps does not grow with the count itself."""
+    return 0.0 if k < 0 else min(1.0, gamma_upper(k + 1, rate))
 
 
 @F.pandas_udf(DoubleType())
@@ -62,29 +86,7 @@ def chi2_upper(x: float, df: int) -> float:
     """Survival function of the chi-square law: the regularised upper incomplete gamma function."""
     if df <= 0 or x is None or math.isnan(x):
         return float("nan")
-    s, z = df / 2, x / 2
-    if z <= 0:
-        return 1.0
-    scale = math.exp(s * math.log(z) - z - math.lgamma(s))
-    if z < s + 1:
-        term = total = 1 / s
-        k = s
-        while abs(term) > 1e-16 * abs(total):
-            k += 1
-            term *= z / k
-            total += term
-        return max(0.0, 1 - total * scale)
-    b, c, d = z + 1 - s, 1e300, 1 / (z + 1 - s)
-    h = d
-    for i in range(1, 10_000):
-        an = -i * (i - s)
-        b += 2
-        d = 1 / (an * d + b)
-        c = b + an / c
-        h *= d * c
-        if abs(d * c - 1) < 1e-15:
-            break
-    return scale * h
+    return gamma_upper(df / 2, x / 2)
 
 
 @F.pandas_udf(DoubleType())

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 BLOCK = 4096
 #: Rows of a block whose distances are held at once.
 CHUNK = 512
-#: The reference's setting (config/preprocess/clustering.yaml).
+#: The settings of the composite score.
 VALID_K = (3, 6)
 WEIGHTS = {"silhouette": 0.40, "max_ratio": 0.20, "noise_ratio": 0.20, "entropy": 0.10, "gini": 0.10}
 SILHOUETTE_LOW, SILHOUETTE_MID = 0.4, 0.5

@@ -107,8 +107,9 @@ def treemap(reports: DataFrame, top: int = 3) -> DataFrame:
 def compare_entities(reports: DataFrame, column: str, a: str, b: str, part: str = "defect_type") -> DataFrame:
     """Shares of each part in two entities, their signed and absolute difference; absent parts are 0."""
     def of(value: str, name: str) -> DataFrame:
-        rows = reports.where(F.col(column) == value).groupBy(part).agg(F.count(F.lit(1)).alias("n"))
-        return rows.select(part, share(F.col("n"), F.sum("n").over(Window.partitionBy(F.lit(0)))).alias(name))
+        own = reports.where(F.col(column) == value)
+        rows = own.groupBy(part).agg(F.count(F.lit(1)).alias("n")).crossJoin(F.broadcast(own.agg(F.count(F.lit(1)).alias("_all"))))  # one row
+        return rows.select(part, share(F.col("n"), F.col("_all")).alias(name))
 
     both = of(a, "pct_a").join(of(b, "pct_b"), part, "full_outer").na.fill(0.0, ["pct_a", "pct_b"])
     return both.withColumns({"difference": F.round(F.col("pct_a") - F.col("pct_b"), 2), "distance": F.round(F.abs(F.col("pct_a") - F.col("pct_b")), 2)})

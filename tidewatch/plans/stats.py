@@ -14,7 +14,8 @@ def contingency(rows: DataFrame, r: str, c: str) -> DataFrame:
     """Observed counts of the pairs that occur, with row, column and grand totals."""
     cells = rows.where(F.col(r).isNotNull() & F.col(c).isNotNull()).groupBy(F.col(r).alias("r"), F.col(c).alias("c")).agg(F.count(F.lit(1)).alias("observed"))
     total = lambda *keys: F.sum("observed").over(Window.partitionBy(*keys))
-    return cells.withColumns({"row_total": total("r"), "col_total": total("c"), "n": total(F.lit(0))})
+    whole = F.broadcast(cells.agg(F.sum("observed").alias("n")))  # one row
+    return cells.withColumns({"row_total": total("r"), "col_total": total("c")}).crossJoin(whole)
 
 
 def grid(cells: DataFrame) -> DataFrame:
@@ -25,7 +26,7 @@ def grid(cells: DataFrame) -> DataFrame:
 
 
 def _effect(v: Column) -> Column:
-    return F.when(v >= 0.5, "large").when(v >= 0.3, "medium").when(v >= 0.1, "small").otherwise("negligible")
+    return F.when(v < 0.1, "Very Weak").when(v < 0.3, "Weak").when(v < 0.5, "Moderate").otherwise("Strong")
 
 
 def chi2_by_row(cells: DataFrame) -> DataFrame:
@@ -59,7 +60,8 @@ def chi2_global(cells: DataFrame) -> DataFrame:
     e = F.col("row_total") * F.col("col_total") / F.col("n")
     one = full.agg(F.sum(F.pow(F.col("observed") - e, 2) / e).alias("chi2"), F.countDistinct("r").alias("rows"), F.countDistinct("c").alias("cols"), F.max("n").alias("n"))
     v = F.sqrt(F.col("chi2") / (F.col("n") * F.nullif(F.least(F.col("rows") - 1, F.col("cols") - 1), F.lit(0))))
-    return one.select("chi2", ((F.col("rows") - 1) * (F.col("cols") - 1)).alias("df"), v.alias("cramers_v"), _effect(v).alias("effect"))
+    one = one.select("chi2", ((F.col("rows") - 1) * (F.col("cols") - 1)).alias("df"), v.alias("cramers_v"), _effect(v).alias("effect"))
+    return one.withColumn("p", chi2_p("chi2", "df"))
 
 
 def _table(cells: DataFrame) -> DataFrame:
@@ -92,7 +94,7 @@ def false_discovery(df: DataFrame, p: str = "p", alpha: float = 0.05, monotone:
     df = df.withColumn("rank", F.row_number().over(order)).withColumn("_step", F.least(F.col(p) * n / F.col("rank"), F.lit(1.0)))
     adjusted = F.min("_step").over(order.rowsBetween(0, Window.unboundedFollowing)) if monotone else F.col("_step")
     df = df.withColumn("p_adjusted", adjusted).drop("_step")
-    return df.withColumns({"significant": F.col("p_adjusted") <= alpha, "significant_raw": F.col(p) <= alpha})
+    return df.withColumns({"significant": F.col("p_adjusted") <= alpha, "significant_raw": F.col(p) < alpha})
 
 
 def wilson(hits: Column, n: Column) -> tuple[Column, Column]:
@@ -105,10 +107,56 @@ def wilson(hits: Column, n: Column) -> tuple[Column, Column]:
 
 
 def stars(p: Column) -> Column:
-    return F.when(p < 0.001, "***").when(p < 0.01, "**").when(p < 0.05, "*").otherwise("ns")
+    return F.when(p < 0.001, "***").when(p < 0.01, "**").when(p < 0.05, "*").otherwise("")
+
+
+def significance(p: Column, alpha: float = 0.05) -> Column:
+    """The words for a p-value."""
+    strong = F.when(p < 0.001, "매우 유의함 (p < 0.001)").when(p < 0.01, "유의함 (p < 0.01)").otherwise("유의함 (p < 0.05)")
+    return F.when(p < alpha, strong).otherwise("유의하지 않음 (p ≥ 0.05)")
 
 
 def chi2_two_by_two(a: Column, b: Column, c: Column, d: Column) -> Column:
     """Yates' chi-square of a 2 x 2 table; null if a margin is empty."""
     n = a + b + c + d
     return n * F.pow(F.greatest(F.abs(a * d - b * c) - n / 2, F.lit(0.0)), 2) / F.nullif((a + b) * (c + d) * (a + c) * (b + d), F.lit(0))
+
+
+def compare_rates(df: DataFrame, hits_a: str, total_a: str, hits_b: str, total_b: str) -> DataFrame:
+    """Yates' chi-square of two rates, its p, the stars and the words."""
+    a, c = F.col(hits_a).cast("double"), F.col(hits_b).cast("double")
+    df = df.withColumn("chi2", chi2_two_by_two(a, F.col(total_a) - a, c, F.col(total_b) - c))
+    df = df.withColumn("p", chi2_p("chi2", F.lit(1)))
+    return df.withColumns({"stars": stars(F.col("p")), "meaning": significance(F.col("p"))})
+
+
+def fisher_among(shown: DataFrame, key: str) -> DataFrame:
+    """Each shown row's deaths against those of the other shown rows (a short list)."""
+    whole = F.broadcast(shown.agg(F.sum("deaths").alias("_k"), F.sum("total").alias("_n")))
+    t = shown.crossJoin(whole).select(key, F.col("deaths").alias("a"), (F.col("total") - F.col("deaths")).alias("b"), (F.col("_k") - F.col("deaths")).alias("c"), (F.col("_n") - F.col("total") - F.col("_k") + F.col("deaths")).alias("d"))
+    return t.withColumn("p", fisher_p("a", "b", "c", "d")).withColumns({"p": F.round("p", 6), "stars": stars(F.col("p"))})
+
+
+def step_p(chi2: Column, df: Column) -> Column:
+    """A coarse p-value from critical values."""
+    # Critical values of one and of two degrees of freedom; of more, multiples of the deviation.
+    steps = {
+        1: [(10.83, 0.001), (7.88, 0.005), (6.63, 0.01), (3.84, 0.05)],
+        2: [(13.82, 0.001), (10.60, 0.005), (9.21, 0.01), (5.99, 0.05)],
+    }
+    more = [(3.0, 0.001), (2.5, 0.01), (2.0, 0.05)]
+    out = F.when(F.lit(False), F.lit(0.0))
+    for k, levels in steps.items():
+        for bound, p in levels:
+            out = out.when((df == k) & (chi2 > bound), p)
+    for times, p in more:
+        out = out.when((df >= 3) & (chi2 > df + times * F.sqrt(2.0 * df)), p)
+    return out.when(df >= 1, 0.10)
+
+
+def full_analysis(rows: DataFrame, r: str, c: str, least: int = 3, alpha: float = 0.05, chi2: bool = True) -> dict[str, DataFrame]:
+    """All tables of an analysis by name: contingency, chi-square of the whole, odds ratios, and these with their false discovery rates."""
+    cells = contingency(rows, r, c)
+    odds = odds_ratios_corrected(cells).where(F.least("a", "b", "c_", "d") >= least).withColumn("p", chi2_p("chi2_yates", F.lit(1)))
+    out = {"contingency": cells, "odds_ratios": odds, "final": false_discovery(odds, alpha=alpha, monotone=False, ties=("r", "c"))}
+    return out | ({"chi2_result": chi2_global(cells)} if chi2 else {})
