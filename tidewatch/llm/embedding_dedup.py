@@ -34,6 +34,8 @@ THRESHOLD = 0.93
 BLOCK, ROWS = 4096, 512
 #: Tasks that undecided pairs are dealt to, for each length of vectors.
 PARTS = 256
+#: A side of a join of at most this many bytes is broadcast; a larger one is shuffled.
+BROADCAST_BYTES = 16 << 20
 #: What rounding in single and in double precision may add to an estimate.
 SINGLE, DOUBLE = 1e-4, 1e-12
 
@@ -232,7 +234,13 @@ def find_links(
     spread = dealt.withColumn("pair", F.explode(pairs)).select("label", "dim", "node", "n", "code", "factor", "small", "scale", "lost", "pair.*")
     found = spread.groupBy("label", "dim", "i", "j").applyInPandas(compare_blocks(threshold), "a long, b long, n long, sure boolean")
     found, found_path = materialise(found, "links")
-    late, late_path = materialise(_recomputed(found.where("NOT sure").select("a", "b"), classes, threshold), "late", slim=True)
+    open_, ends_path = found.where("NOT sure").select("a", "b"), None
+    if open_.isEmpty():
+        open_, classes_of = open_.limit(0), classes.limit(0)
+    else:
+        ends, ends_path = materialise(open_.select(F.col("a").alias("node")).union(open_.select("b")).distinct(), "undecided", slim=True)
+        classes_of = classes.join(F.broadcast(ends) if ends.count() * 24 <= BROADCAST_BYTES else ends, "node", "left_semi")
+    late, late_path = materialise(_recomputed(open_, classes_of, threshold), "late", slim=True)
     links = found.where("sure AND b IS NOT NULL").select("a", "b").unionByName(late.select("a", "b"))
     components = connected_components(links, "vector-links")
     counted = found.where("b IS NULL").select(F.col("a").alias("node"), "n")
@@ -246,7 +254,7 @@ def find_links(
         .select("label", "h1", "h2", (F.col("n") - 1 + F.coalesce("others", F.lit(0))).alias("n_links"), F.coalesce("smallest", "rep").alias("component"))
     )
     of_class, _ = materialise(of_class, "vector-classes")
-    for path in (classes_path, found_path, late_path):
+    for path in (classes_path, found_path, late_path, *([ends_path] if ends_path else [])):
         drop(vectors.sparkSession, path)
     # A row's way back to its class is small: hashes, not vectors.
     keyed = rows.select(
