@@ -48,6 +48,22 @@ def tidy(text: Column) -> Column:
     return F.when(folded != "", folded)
 
 
+# Plain forms of letters and marks that do not decompose.
+PLAIN = {"ß": "ss", "æ": "ae", "Æ": "AE", "œ": "oe", "Œ": "OE", "ø": "o", "Ø": "O", "đ": "d", "Đ": "D", "ł": "l", "Ł": "L", "þ": "th", "Þ": "Th", "‘": "'", "’": "'", "“": '"', "”": '"', "–": "-", "—": "-", "…": "...", "•": "*", "€": "EUR"}
+
+
+def plain_text(text: Column) -> Column:
+    """ASCII form of a text: compatibility decomposition without marks, plain forms of the rest where there is one; then :func:`tidy`.
+
+    Characters without a plain form go.
+    """
+    out = text
+    for letter, plain in PLAIN.items():
+        out = F.replace(out, F.lit(letter), F.lit(plain))
+    out = F.reflect(F.lit("com.ibm.icu.text.Normalizer"), F.lit("decompose"), out, F.lit(True))
+    return tidy(F.when(text.isNotNull(), F.regexp_replace(out, r"[^\x00-\x7F]", "")))
+
+
 def remove_country(text: Column, countries: Sequence[str] = COUNTRIES) -> Column:
     """The first country name that is found goes, whatever its case; blank is null."""
     names = "|".join(sorted(countries, key=lambda c: (-len(c), c)))
@@ -57,9 +73,10 @@ def remove_country(text: Column, countries: Sequence[str] = COUNTRIES) -> Column
     return F.when(out != "", out)
 
 
-def clean_columns(df: DataFrame, rules: dict[str, list[tuple]]) -> DataFrame:
-    """Apply each column's rules step by step: the i-th rule of every column together."""
-    apply = {"remove": remove, "delete": delete, "keep": keep, "filter_array": filter_array, "remove_country": lambda c, _: remove_country(c), "tidy": lambda c, _: tidy(c)}
+def clean_columns(df: DataFrame, rules: dict[str, list[tuple]], countries: Sequence[str] = COUNTRIES) -> DataFrame:
+    """Apply each column's rules step by step: the i-th rule of every column together; columns that are absent are passed over."""
+    apply = {"remove": remove, "delete": delete, "keep": keep, "filter_array": filter_array, "remove_country": lambda c, _: remove_country(c, countries), "tidy": lambda c, _: tidy(c)}
+    rules = {name: own for name, own in rules.items() if name in df.columns}
     for step in range(max((len(r) for r in rules.values()), default=0)):
         df = df.withColumns({name: apply[own[step][0]](F.col(name), own[step][1] if len(own[step]) > 1 else []) for name, own in rules.items() if step < len(own)})
     return df

@@ -95,8 +95,28 @@ def chi2_p(x: pd.Series, df: pd.Series) -> pd.Series:
 
 
 def register_udfs(spark) -> list[str]:
-    """Register the scalar kernels by name for SQL."""
-    found = {"fuzzy_match_score": fuzzy_score, "poisson_upper": poisson_upper, "fisher_p": fisher_p, "chi2_p": chi2_p}
+    """Register the scalar functions by name for SQL."""
+    return sorted(name for name, status in deploy_udfs(spark).items() if status == "ok")
+
+
+def deploy_udfs(spark, more: dict | None = None) -> dict[str, str]:
+    """Register every function and say how each went: ``ok`` or the error's text."""
+    found = {"fuzzy_match_score": fuzzy_score, "poisson_upper": poisson_upper, "fisher_p": fisher_p, "chi2_p": chi2_p} | (more or {})
+    status = {}
     for name, f in found.items():
-        spark.udf.register(name, f)
-    return sorted(found)
+        try:
+            spark.udf.register(name, f)
+            status[name] = "ok"
+        except Exception as error:  # one function that cannot be registered leaves the others
+            status[name] = str(error).splitlines()[0]
+    for name, body in SQL_FUNCTIONS.items():
+        spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {name}(t STRING) RETURNS STRING RETURN {body}")
+        status[name] = "ok"
+    return status
+
+
+# Text functions for SQL, as expressions of their argument: they need no Python.
+SQL_FUNCTIONS = {
+    "clean_text": r"nullif(trim(regexp_replace(regexp_replace(t, '[\\p{Cc}&&[^\\s]]', ''), '\\s+', ' ')), '')",
+    "first_word": r"nullif(regexp_extract(t, '^\\s*(\\S+)', 1), '')",
+}

@@ -18,6 +18,41 @@ def changed_latest(df: DataFrame, keys: Sequence[str], order: Column, hash_col:
     return df.where((F.col("_k") == 1) & ~F.col("_before").eqNullSafe(F.col(hash_col))).drop("_k", "_before")
 
 
+def changed_this_month(df: DataFrame, keys: Sequence[str], time: str, hash_col: str, as_of: Column, zone: str = "Asia/Seoul", ties: Sequence[Column] = ()) -> DataFrame:
+    """:func:`changed_latest` by time, if that row came in the month of ``as_of``; both times are UTC, the month is that of a zone."""
+    month = lambda t: F.date_trunc("month", F.from_utc_timestamp(t, zone))
+    return changed_latest(df, keys, F.desc(time), hash_col, ties).where(month(F.col(time)) == month(as_of))
+
+
+def scope_events(df: DataFrame, device_class: str = "device_class", texts: str = "texts", wanted: str = "3") -> DataFrame:
+    """Events of devices of a class that have a text."""
+    return df.where((F.col(device_class) == wanted) & (F.coalesce(F.size(texts), F.lit(0)) > 0))
+
+
+def scope_devices(df: DataFrame, classes: str = "classes", wanted: str = "3") -> DataFrame:
+    """Devices one of whose classes is the wanted one."""
+    return df.where(F.coalesce(F.array_contains(classes, wanted), F.lit(False)))
+
+
+def trusted(df: DataFrame, name: str = "manufacturer_name", confidence: str = "match_confidence", levels: Sequence[str] = ("HIGH", "MEDIUM", "LOW")) -> DataFrame:
+    """Rows with a maker and a sufficient match."""
+    return df.where(F.col(name).isNotNull() & F.col(confidence).isin(*levels))
+
+
+def quality_filter(df: DataFrame, key: str, report: Sequence[str], event_flag: Column, event: Column, unit: str, order: Sequence[Column] = ()) -> DataFrame:
+    """Trusted rows, of repeated reports the first, whose flag fits the event, one for each key and unit.
+
+    Rows with all of ``report`` are the same report if these are equal; all but
+    the one of smallest key go, with every row of their keys.  ``order`` settles
+    which row of a key and unit stays.
+    """
+    good = trusted(df)
+    complete = reduce(lambda d, c: d.where(F.col(c).isNotNull()), report, good)
+    gone = beyond_first(complete, report, [F.asc(key)]).select(key)
+    logical = without(good, gone, [key]).where(event_flag == event)
+    return qualify(logical, [key, unit], [F.asc(key), *order])
+
+
 def beyond_first(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
     """The rows of each key after its first."""
     w = Window.partitionBy(*keys).orderBy(*order)

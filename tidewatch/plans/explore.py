@@ -7,8 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidewatch.functions.columns import count_if, month_of, share, year_month
-from tidewatch.plans.gold import SEVERE
+from tidewatch.functions.columns import combo, count_if, month_of, qualify, share, year_month
+from tidewatch.plans.gold import EXCLUDED_DEFECTS, SEVERE
 
 NO_HARM = ("No Harm", "No Apparent Injury")
 
@@ -172,3 +172,198 @@ def cluster_insights(overview: DataFrame) -> DataFrame:
 def common_keywords(df: DataFrame, column: str, a: int, b: int) -> DataFrame:
     words = explode_words(df, column)
     return words.where(F.col("cluster") == a).select("keyword").intersect(words.where(F.col("cluster") == b).select("keyword"))
+
+
+# What is shown for a flag and for a pattern.
+FLAG_LABELS = {True: "결함 있음", False: "결함 없음"}
+UNKNOWN_LABEL = "알 수 없음"
+PATTERN_LABELS = {"severe": "🔴 심각", "alert": "🟠 경고", "attention": "🟡 주의"}
+GENERAL_LABEL = "🟢 일반"
+
+
+def flag_label(flag: Column) -> Column:
+    """The words for a confirmed flag; other values pass as text, ``Unknown`` by its word."""
+    text = flag.cast("string")
+    out = F.when(text == "true", FLAG_LABELS[True]).when(text == "false", FLAG_LABELS[False])
+    return out.when(text == "Unknown", UNKNOWN_LABEL).otherwise(text)
+
+
+def pattern_label(pattern: Column) -> Column:
+    out = None
+    for name, label in PATTERN_LABELS.items():
+        out = F.when(pattern == name, label) if out is None else out.when(pattern == name, label)
+    return out.otherwise(GENERAL_LABEL)
+
+
+def _top_shares(rows: DataFrame, key: Column, total: DataFrame, top: int | None, digits: int = 2) -> DataFrame:
+    """Counts of a value, the largest first, with their share of a one-row total."""
+    out = rows.groupBy(key.alias("label")).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "label")
+    out = out.limit(top) if top else out
+    return out.crossJoin(F.broadcast(total)).withColumn("ratio", share(F.col("n"), F.col("_total"), digits)).drop("_total")
+
+
+def cluster_headline(reports: DataFrame, cluster: int) -> DataFrame:
+    """One row: cases of a cluster, its severe rate, and counts and rates by harm; 0 where the cluster is empty."""
+    harm = F.col("patient_harm")
+    one = reports.where(F.col("cluster") == cluster).agg(
+        F.count(F.lit(1)).alias("total"), *[F.coalesce(count_if(harm == label), F.lit(0)).alias(name) for name, label in (("deaths", "Death"), ("serious", "Serious Injury"), ("minor", "Minor Injury"))]
+    )
+    rate = lambda part: F.coalesce(share(part, F.col("total")), F.lit(0.0))
+    return one.withColumns({
+        "severe": F.col("deaths") + F.col("serious"), "cfr": rate(F.col("deaths") + F.col("serious")),
+        "death_rate": rate(F.col("deaths")), "serious_rate": rate(F.col("serious")), "minor_rate": rate(F.col("minor")),
+    })
+
+
+def cluster_check(reports: DataFrame, cluster: int, top: int = 10) -> dict[str, DataFrame]:
+    """What a cluster holds: harms, components, months, defects and flags; ratios are over all its cases."""
+    own = reports.where(F.col("cluster") == cluster)
+    total = own.agg(F.count(F.lit(1)).alias("_total"))
+    harm = F.when(F.col("patient_harm").isin(*NO_HARM), "No Harm").otherwise(F.col("patient_harm"))
+    defects = own.where(F.col("defect_type") != "")
+    months = own.groupBy(year_month(F.col("date_received")).alias("label")).agg(F.count(F.lit(1)).alias("n")).withColumn("ratio", F.lit(None).cast("double"))
+    return {
+        "harm": _top_shares(own.where(harm.isNotNull()), harm, total, None),
+        "component": _top_shares(explode_words(own, "problem_components"), F.col("keyword"), total, top),
+        "month": months,
+        "defect": _top_shares(defects, F.col("defect_type"), total, top),
+        "confirmed": _top_shares(own.where(F.col("defect_confirmed").isNotNull()), flag_label(F.col("defect_confirmed")), total, None),
+    }
+
+
+def shared_components(reports: DataFrame, top: int = 3) -> DataFrame:
+    """Components that are among the first ``top`` of more than one cluster (noise aside), the most shared first."""
+    words = explode_words(reports.where(F.col("cluster") != -1), "problem_components")
+    counts_ = words.groupBy("cluster", "keyword").agg(F.count(F.lit(1)).alias("n"))
+    best = qualify(counts_, ["cluster"], [F.desc("n"), F.asc("keyword")], top)
+    return best.groupBy("keyword").agg(F.count(F.lit(1)).alias("clusters")).where("clusters > 1").orderBy(F.desc("clusters"), "keyword").limit(3)
+
+
+def defect_components(reports: DataFrame, defect: str, top: int = 10) -> DataFrame:
+    """Components of one defect with their share of its components; no rows if there are none."""
+    words = explode_words(reports.where((F.col("defect_type") == defect) & F.col("problem_components").isNotNull()), "problem_components")
+    out = _top_shares(words, F.col("keyword"), words.agg(F.count(F.lit(1)).alias("_total")), top)
+    return out.select(F.col("label").alias("problem_component"), "n", F.col("ratio").alias("percentage"))
+
+
+def monthly_severity(reports: DataFrame) -> DataFrame:
+    """Count, severe cases and severe rate of each month."""
+    out = reports.groupBy(month_of(F.col("date_received")).alias("month")).agg(F.count(F.lit(1)).alias("n"), count_if(F.col("patient_harm").isin(*SEVERE)).alias("severe"))
+    return out.withColumn("severe_rate", share(F.col("severe"), F.col("n"), 4))
+
+
+def sparkline(reports: DataFrame, last: str, months: int = 6) -> DataFrame:
+    """Count, severe rate and confirmed rate of each of the last months."""
+    end = F.lit(last).cast("date")
+    rows = reports.where(F.col("date_received").between(F.add_months(F.trunc(end, "month"), -(months - 1)), F.last_day(end)))
+    n = F.count(F.lit(1))
+    return rows.groupBy(month_of(F.col("date_received")).alias("month")).agg(
+        n.alias("n"), share(count_if(F.col("patient_harm").isin(*SEVERE)), n, 4).alias("severe_rate"), share(count_if(F.col("defect_confirmed")), n, 4).alias("confirmed_rate")
+    )
+
+
+def critical_defect(reports: DataFrame, first: str, last: str) -> DataFrame:
+    """The defect of highest severe rate in a period and in the one a month earlier; ties go to the smaller name."""
+    spans = {"now": (F.lit(first).cast("date"), F.lit(last).cast("date")), "before": (F.add_months(F.lit(first).cast("date"), -1), F.add_months(F.lit(last).cast("date"), -1))}
+    known = reports.where(~F.col("defect_type").isin(*EXCLUDED_DEFECTS))
+    inside = {name: F.col("date_received").between(a, b) for name, (a, b) in spans.items()}
+    severe = F.col("patient_harm").isin(*SEVERE)
+    rates = known.groupBy("defect_type").agg(*[share(count_if(t & severe), count_if(t), None).alias(name) for name, t in inside.items()])
+    best = lambda name: F.min(F.when(F.col(name).isNotNull(), F.struct((-F.col(name)).alias("r"), F.col("defect_type").alias("d")))).alias(name)
+    one = rates.agg(best("now"), best("before"))
+    return one.select(*[c for name in spans for c in (F.coalesce(F.col(f"{name}.d"), F.lit("N/A")).alias(f"defect_{name}"), F.round(F.coalesce(-F.col(f"{name}.r"), F.lit(0.0)), 4).alias(f"rate_{name}"))])
+
+
+def cascade(reports: DataFrame, manufacturers: Sequence[str], products: Sequence[str] = ()) -> dict[str, DataFrame]:
+    """What may still be chosen: products of the chosen manufacturers, devices of both; nothing while no manufacturer is chosen."""
+    own = reports.where(F.col("manufacturer_name").isin(*manufacturers)) if manufacturers else reports.where(F.lit(False))
+    of = own.where(F.col("product_code").isin(*products)) if products else own
+    device = combo(F.col("manufacturer_name"), F.col("product_code"))
+    return {"products": values_of(own, "product_code"), "devices": values_of(of.withColumn("device", device), "device")}
+
+
+def value_lists(reports: DataFrame) -> dict[str, DataFrame]:
+    """All lists that filters offer: months descending, the others ascending, without nulls and noise."""
+    months = values_of(reports.withColumn("month", year_month(F.col("date_received"))), "month", descending=True)
+    named = {"manufacturers": "manufacturer_name", "products": "product_code", "defects": "defect_type"}
+    return {"months": months} | {k: values_of(reports, c) for k, c in named.items()} | {"clusters": values_of(reports, "cluster", without=(-1,))}
+
+
+def eda_insights(reports: DataFrame, least: int = 10, high: float = 5.0, good: float = 1.0) -> DataFrame:
+    """Findings by kind: the top device, the first device of a high severe rate (or the mean rate where all are low), the top defect."""
+    rows = reports.withColumn("device", combo(F.col("manufacturer_name"), F.col("product_code")))
+    kind = lambda name: F.lit(name).alias("kind")
+    top = counts(rows, ["device"], 1).select(kind("top_device"), F.col("device").alias("subject"), F.col("total_count").cast("double").alias("value"))
+    rates = fatality(rows, "device", least).orderBy(F.desc("severe_rate"), "device").limit(5)
+    risky = rates.where(F.col("severe_rate") > high).orderBy(F.desc("severe_rate"), "device").limit(1).select(kind("high_rate"), F.col("device").alias("subject"), F.col("severe_rate").alias("value"))
+    mean = rates.agg(F.avg("severe_rate").alias("value"), F.max("severe_rate").alias("m")).where((F.col("m") <= high) & (F.col("value") < good))
+    defects = counts(rows.where(F.col("defect_type").isNotNull()), ["defect_type"], 1)
+    return top.unionByName(risky).unionByName(mean.select(kind("low_rate"), F.lit(None).cast("string").alias("subject"), "value")).unionByName(
+        defects.select(kind("top_defect"), F.col("defect_type").alias("subject"), F.col("total_count").cast("double").alias("value"))
+    )
+
+
+def top_combos(reports: DataFrame, defects: Sequence[str] = (), top: int = 10) -> DataFrame:
+    """Counts by device and defect, of the devices with the most cases under the defect filter."""
+    rows = reports.withColumn("device", combo(F.col("manufacturer_name"), F.col("product_code")))
+    rows = rows.where(F.col("defect_type").isin(*defects)) if defects else rows
+    best = counts(rows, ["device"], top).select("device")  # ``top`` rows
+    return rows.join(F.broadcast(best), "device", "left_semi").groupBy("device", "defect_type").agg(F.count(F.lit(1)).alias("n"))
+
+
+def filter_by(df: DataFrame, filters: dict[str, object]) -> DataFrame:
+    """Rows that meet a dictionary of filters: a list, a (low, high) pair of a range, or one value; None filters nothing."""
+    for name, wanted in filters.items():
+        if isinstance(wanted, tuple):
+            df = df.where(F.col(name).between(*wanted))
+        elif isinstance(wanted, (list, set)):
+            df = df.where(F.col(name).isin(*wanted))
+        elif wanted is not None:
+            df = df.where(F.col(name) == wanted)
+    return df
+
+
+def top_by_column(df: DataFrame, column: str, top: int = 10, filters: dict[str, object] | None = None) -> DataFrame:
+    return counts(filter_by(df, filters or {}), [column], top)
+
+
+NUMERIC = ("tinyint", "smallint", "int", "bigint", "float", "double", "decimal")
+
+
+def all_statistics(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    """A row of statistics for each column; without a list, for every number column."""
+    names = columns or [c for c, kind in df.dtypes if kind.split("(")[0] in NUMERIC]
+    stats = {"mean": F.avg, "median": lambda c: F.percentile(c, F.lit(0.5)), "std": F.stddev_samp, "low": F.min, "high": F.max}
+    one = df.agg(*[f(c).cast("double").alias(f"{c}|{n}") for c in names for n, f in stats.items()])
+    rows = F.array(*[F.struct(F.lit(c).alias("column"), *[F.col(f"`{c}|{n}`").alias(n) for n in stats]) for c in names])
+    return one.select(F.inline(rows))
+
+
+def column_pairs(columns: Sequence[str]) -> list[tuple[str, str]]:
+    return [(a, b) for i, a in enumerate(columns) for b in columns[i + 1 :]]
+
+
+def pair_compositions(df: DataFrame, columns: Sequence[str], top: int | None = None) -> DataFrame:
+    """Composition of every pair of columns, of the groups with the most rows, one below the other."""
+    out = None
+    for a, b in column_pairs(columns):
+        rows = df.where(F.col(a).isNotNull() & F.col(b).isNotNull())
+        if top:
+            rows = rows.join(F.broadcast(counts(rows, [a], top).select(a)), a, "left_semi")
+        own = composition(rows, a, b, 4, 1.0).select(F.lit(a).alias("group_column"), F.col(a).cast("string").alias("group_value"), F.lit(b).alias("part_column"), F.col(b).cast("string").alias("part_value"), "n", "pct")
+        out = own if out is None else out.unionByName(own)
+    return out
+
+
+def keyword_shares(df: DataFrame, column: str, group: str) -> DataFrame:
+    """Keyword counts within a group and their share of it from 0 to 1, not rounded, all keywords."""
+    out = explode_words(df, column, trim_first=True).groupBy(group, "keyword").agg(F.count(F.lit(1)).alias("n"))
+    return out.withColumn("ratio", share(F.col("n"), F.sum("n").over(Window.partitionBy(group)), None, 1.0))
+
+
+def fatality_range(rates: DataFrame, reports: DataFrame) -> DataFrame:
+    """Lowest and highest rate of a table of rates, their distance, and the rate of all cases."""
+    harm = count_if(F.col("patient_harm") == "Death")
+    whole = reports.agg(share(harm, F.count(F.lit(1))).alias("overall"))
+    one = rates.agg(F.min("cfr").alias("low"), F.max("cfr").alias("high")).withColumn("range", F.round(F.col("high") - F.col("low"), 2))
+    return one.crossJoin(F.broadcast(whole))

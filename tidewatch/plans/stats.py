@@ -151,7 +151,7 @@ def step_p(chi2: Column, df: Column) -> Column:
             out = out.when((df == k) & (chi2 > bound), p)
     for times, p in more:
         out = out.when((df >= 3) & (chi2 > df + times * F.sqrt(2.0 * df)), p)
-    return out.when(df >= 1, 0.10)
+    return out.when(df >= 1, 0.5)
 
 
 def full_analysis(rows: DataFrame, r: str, c: str, least: int = 3, alpha: float = 0.05, chi2: bool = True) -> dict[str, DataFrame]:
