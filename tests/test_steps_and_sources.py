@@ -98,3 +98,18 @@ def test_matching_needs_as_many_columns_as_asked(spark):
     source = spark.createDataFrame([("u", "p1", "m", "a", "b", "2020-01-01"), ("u", "p2", "m", "a", "c", "2019-01-01"), ("v", "p3", "m", "a", "b", "2021-01-01")], "udi_di string, primary_udi_di string, manufacturer string, model string, cat string, source_date string").withColumn("source_date", F.to_date("source_date"))
     got = {r.k: (r.matched_udi_di, r.match_status) for r in matching.match_identifiers(target, source, ["model", "cat"], 2).collect()}
     assert got == {1: ("p1", "NO UDI META SUCCESS"), 2: (None, "NO MATCH"), 3: ("p1", "META SUCCESS")}
+
+
+def test_fisher_tails_against_all_tables():
+    import math
+    import random
+
+    from tidewatch.functions.kernels import fisher_exact
+
+    rng = random.Random(1)
+    for _ in range(300):
+        a, b, c, d = (rng.randint(0, rng.choice((3, 12, 60))) for _ in range(4))
+        n, row, col = a + b + c + d, a + b, a + c
+        weights = {k: math.comb(col, k) * math.comb(n - col, row - k) for k in range(max(0, row + col - n), min(row, col) + 1)}
+        want = sum(w for w in weights.values() if w <= weights[a] * (1 + 1e-7)) / math.comb(n, row)
+        assert fisher_exact(a, b, c, d) == pytest.approx(want, rel=1e-9)

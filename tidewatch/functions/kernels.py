@@ -68,13 +68,38 @@ def poisson_upper(count: pd.Series, rate: pd.Series) -> pd.Series:
 
 
 def fisher_exact(a: int, b: int, c: int, d: int) -> float:
-    """Two-sided p of a 2 x 2 table: tables no more likely than this one."""
+    """Two-sided p of a 2 x 2 table: tables no more likely than this one.
+
+    The law has one mode, so these are two tails; each is found by bisection
+    and summed until its terms vanish, whatever the counts are.
+    """
     n, row, col = a + b + c + d, a + b, a + c
     choose = lambda x, y: math.lgamma(x + 1) - math.lgamma(y + 1) - math.lgamma(x - y + 1)
     log_p = lambda k: choose(col, k) + choose(n - col, row - k) - choose(n, row)
-    own = log_p(a)
     low, high = max(0, row + col - n), min(row, col)
-    return min(1.0, math.fsum(math.exp(p) for k in range(low, high + 1) if (p := log_p(k)) <= own + 1e-7))
+    mode = min(max((row + 1) * (col + 1) // (n + 2), low), high)
+    bound = log_p(a) + 1e-7
+    if log_p(mode) <= bound:
+        return 1.0
+
+    def tail(end: int, step: int) -> float:
+        if log_p(end) > bound:
+            return 0.0
+        inside, outside = mode, end  # more likely than the table, and not
+        while abs(outside - inside) > 1:
+            middle = (inside + outside) // 2
+            inside, outside = (inside, middle) if log_p(middle) <= bound else (middle, outside)
+        k, term, total = outside, 1.0, 0.0
+        while term > 1e-17 * total:
+            total += term
+            if k == end:
+                break
+            up = (row - k) * (col - k) / ((k + 1) * (n - row - col + k + 1)) if step > 0 else k * (n - row - col + k) / ((row - k + 1) * (col - k + 1))
+            term *= up
+            k += step
+        return math.exp(log_p(outside)) * total
+
+    return min(1.0, tail(low, -1) + tail(high, 1))
 
 
 @F.pandas_udf(DoubleType())
