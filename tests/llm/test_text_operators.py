@@ -227,3 +227,29 @@ def test_forward_backward_against_enumeration():
         joint += own / total
         at += n
     assert np.allclose(good, want) and np.allclose(pairs, joint)
+
+
+def test_character_map_equals_the_library():
+    """Every rule that the library carries, on texts of mapped, joined and plain characters."""
+    spm = pytest.importorskip("sentencepiece")
+    text = "ＡＢＣ　ｱｲｳ ﬁne été  ½ ① 한글 한 a­b \t tab​ Å x"
+    for rule in ("nfkc", "nmt_nfkc", "nfkc_cf", "nmt_nfkc_cf"):
+        made = spm.SentencePieceNormalizer(rule_name=rule)
+        model = pieces.Model.parse(made.serialized_model_proto())
+        assert model.char_map
+        own = pieces.Automaton(model)
+        for t in (text, "", " ", "plain", *text.split(" ")):
+            assert own.normalise(t) == made.normalize(t), (rule, t)
+
+
+def test_character_map_keeps_pieces_that_the_user_defined():
+    spm = pytest.importorskip("sentencepiece")
+    made = spm.SentencePieceNormalizer(rule_name="nfkc")
+    data = pieces.Model.parse(made.serialized_model_proto()).char_map
+    assert pieces.CharMap(data, ["ＡＢ"]).apply("ＡＢＣ") == "ＡＢC"
+
+
+@need_model
+def test_one_endless_word(coder):
+    text = "abcdefghij" * 20_000
+    assert coder.decode(coder.encode(text).tolist(), coder.decode_table()) == text

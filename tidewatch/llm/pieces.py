@@ -4,13 +4,14 @@ An Aho-Corasick automaton over a model's pieces reads a text once; at each
 position the output links name the pieces that end there, and each relaxes the
 best score of a segmentation up to that position (Viterbi).  Of equal scores
 the longest last piece wins.  Characters that no piece covers fall back to
-byte pieces, or to the unknown id.
+byte pieces, or to the unknown id.  A model's character map is applied first.
 """
 
 from __future__ import annotations
 
 import re
 import struct
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -72,6 +73,7 @@ class Model:
     dummy_prefix: bool = True
     strip_spaces: bool = True
     byte_fallback: bool = False
+    char_map: bytes = b""
 
     @classmethod
     def parse(cls, data: bytes) -> Model:
@@ -86,13 +88,78 @@ class Model:
                 model.byte_fallback = bool(dict(_fields(value)).get(35, 0))
             elif number == 3:
                 own = dict(_fields(value))
-                if own.get(2):
-                    raise ValueError("models with a character map are not supported")
+                model.char_map = own.get(2, b"")
                 model.dummy_prefix = bool(own.get(3, 1))
                 model.strip_spaces = bool(own.get(4, 1))
         return model
 
 
+class CharMap:
+    """A model's character map: the longest entry that starts at a position is replaced.
+
+    The map is a double-array trie over UTF-8 bytes, whose values are offsets
+    into replacements that end in a zero byte.  ``kept`` strings (pieces that
+    the user defined) stay as they are.
+    """
+
+    def __init__(self, data: bytes, kept: list[str] = ()):
+        size = struct.unpack_from("<I", data)[0]
+        self.units = np.frombuffer(data, "<u4", size // 4, 4).tolist()
+        self.texts = data[4 + size :]
+        self.kept = re.compile("|".join(re.escape(k) for k in sorted(kept, key=len, reverse=True))) if kept else None
+        #: Characters that start no entry, and so stay.
+        self.plain: set[str] = set()
+
+    @staticmethod
+    def _offset(unit: int) -> int:
+        return (unit >> 10) << ((unit & 512) >> 6)
+
+    def longest(self, data: bytes, at: int) -> tuple[int, int, int]:
+        """Length and value of the longest entry at a byte (length 0: none), and how many bytes the trie followed."""
+        units, length, value = self.units, 0, 0
+        node, end = self._offset(units[0]), at
+        while end < len(data):
+            node ^= data[end]
+            unit = units[node] if node < len(units) else 0
+            if unit & 0x800000FF != data[end]:
+                break
+            end += 1
+            node ^= self._offset(unit)
+            if unit >> 8 & 1:
+                length, value = end - at, units[node] & 0x7FFFFFFF
+        return length, value, end - at
+
+    def apply(self, text: str) -> str:
+        if not text:
+            return text
+        if self.kept:
+            out, done = [], 0
+            for m in self.kept.finditer(text):
+                out += [self._replace(text[done : m.start()]), m.group()]
+                done = m.end()
+            return "".join([*out, self._replace(text[done:])])
+        return self._replace(text)
+
+    def _replace(self, text: str) -> str:
+        data, out, at, plain = text.encode("utf-8", "replace"), [], 0, self.plain
+        i = 0
+        while i < len(text):
+            c = text[i]
+            width = len(c.encode("utf-8", "replace"))
+            if c not in plain:
+                length, value, followed = self.longest(data, at)
+                if length:
+                    out.append(self.texts[value : self.texts.index(0, value)].decode())
+                    i += len(data[at : at + length].decode())
+                    at += length
+                    continue
+                if followed < width:  # no entry starts with this character
+                    plain.add(c)
+            out.append(c)
+            i, at = i + 1, at + width
+        return "".join(out)
+
+
 class Automaton:
     """Aho-Corasick automaton over pieces, with output links and a Viterbi pass."""
 
@@ -118,6 +185,9 @@ class Automaton:
             self.piece[node] = i
             pinned = model.kinds[i] == USER_DEFINED
             self.score[node] = len(model.pieces[i]) * max(normal) - 0.1 if pinned else model.scores[i]
+        pinned = [model.pieces[i] for i in usable if model.kinds[i] == USER_DEFINED]
+        self.char_map = CharMap(model.char_map, pinned) if model.char_map else None
+        self.lengths = [len(p) for p in model.pieces]
         self.fail, self.link = [0] * len(self.go), [0] * len(self.go)
         level = list(self.go[0].values())
         while level:
@@ -164,30 +234,35 @@ class Automaton:
         return self.outputs[state]
 
     def viterbi(self, text: str) -> list[int]:
-        """Ids of the best segmentation of normalised text."""
-        outputs, step = self.outputs, self.go
-        best, back = [0.0], [(0, -1)]
+        """Ids of the best segmentation of normalised text.
+
+        A position keeps the best score and the last piece as plain numbers, 12
+        bytes in all: a text of one endless word needs memory in proportion.
+        """
+        outputs, step, worst = self.outputs, self.go, float("-inf")
+        best, back = array("d", [0.0]), array("i", [-1])
         state = before = end = 0
         for c in text:
             end += 1
             state = step[state].get(c, -1)
             if state < 0:  # seen for the first time: follow the fail links once
                 state = self._advance(before, c)
-            top, from_, single = float("-inf"), (end - 1, -1), False
+            top, last, single = worst, -1, False
             for length, score, piece in outputs[state] or self._outputs(state):
                 single = length == 1  # the shortest comes last
                 value = best[end - length] + score
                 if value > top:
-                    top, from_ = value, (end - length, piece)
+                    top, last = value, piece
             if not single and (value := best[end - 1] + self.unknown_score) > top:
-                top, from_ = value, (end - 1, -1)
+                top, last = value, -1
             best.append(top)
-            back.append(from_)
+            back.append(last)
             before = state
         ids: list[int] = []
         end, run = len(text), False
         while end:
-            start, i = back[end]
+            i = back[end]
+            start = end - (self.lengths[i] if i >= 0 else 1)
             if i >= 0:
                 ids.append(i)
             elif self.model.byte_fallback:
@@ -196,11 +271,17 @@ class Automaton:
                 ids.append(self.unknown)  # a run of unknown characters is one unknown piece
             run = i < 0
             end = start
-        return ids[::-1]
+        ids.reverse()
+        return ids
+
+    def tidied(self, text: str) -> str:
+        """The text that is encoded: characters mapped, surplus spaces gone."""
+        if self.char_map:
+            text = self.char_map.apply(text)
+        return re.sub(" {2,}", " ", text).strip(" ") if self.model.strip_spaces else text
 
     def normalise(self, text: str) -> str:
-        if self.model.strip_spaces:
-            text = re.sub(" {2,}", " ", text).strip(" ")
+        text = self.tidied(text)
         if not text:
             return ""
         return (SPACE if self.model.dummy_prefix else "") + text.replace(" ", SPACE)
@@ -275,7 +356,8 @@ def encode_documents(docs: DataFrame, data: bytes, id_col: str = "doc_id", text_
 
     Returns one row per input row: ``doc_id``, ``n_tokens``, ``ids`` and
     ``round_trip`` (decoded ids equal the text; a space mark U+2581 in the text
-    itself comes back as a space and counts as equal).  A null or empty text
+    itself comes back as a space and counts as equal; under a model that maps
+    characters or drops surplus spaces, the text is the one so tidied).  A null or empty text
     has no ids; null ids and repeated rows stay; other columns are not read.
     """
     small_batches(docs.sparkSession)
@@ -299,8 +381,7 @@ def encode_documents(docs: DataFrame, data: bytes, id_col: str = "doc_id", text_
 
 
 def _same(coder: Automaton, text: str, decoded: str) -> bool:
-    if coder.model.strip_spaces:
-        text = re.sub(" {2,}", " ", text).strip(" ")
+    text = coder.tidied(text)
     return decoded == text or decoded == text.replace(SPACE, " ")
 
 
