@@ -14,30 +14,37 @@ URL_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.
 
 
 def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Piece ids of every whole text and whether they decode to it; null or empty texts have no ids, repeated rows stay."""
     return pieces.encode_documents(table(spark, sf_dir, "documents"), pieces.read_model())
 
 
 def op2_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links of cosine 0.93 or more within a label; unusable vectors and null labels link with nothing, rows of one id keep their own rows."""
     return embedding_dedup.find_links(table(spark, sf_dir, "embeddings"))
 
 
 def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page; null or empty html gives an empty text."""
     return html_field.extract_pages(table(spark, sf_dir, "pages"))
 
 
 def op4_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License notices of every whole text; null or empty texts have no words and no labels."""
     return license_scan.scan_licenses(table(spark, sf_dir, "documents"))
 
 
 def op5_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of every whole text and of its edited text; a null text counts as empty, equal texts have equal digests."""
     return fingerprint.fingerprint_edits(table(spark, sf_dir, "documents"))
 
 
 def op6_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents whose sets of 5-word shingles overlap by 75 %; texts without words link with nothing."""
     return ngram_join.join_documents(table(spark, sf_dir, "documents"))
 
 
 def op7_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdict on every url by the rules above; a null or malformed url has an empty host and path and is allowed."""
     return url_filter.judge_urls(table(spark, sf_dir, "pages"), URL_RULES)
 
 
@@ -45,6 +52,7 @@ MIX_WEIGHTS, MIX_SHARE = [5, 2, 1], 1.5
 
 
 def op8_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words that the mix takes of every document; a null text has size 0, a null source comes last."""
     mixed = mixing.mix(table(spark, sf_dir, "documents").select("doc_id", "text", "source"), MIX_WEIGHTS, MIX_SHARE)
     return mixed.select("doc_id", "_mix.size", "_mix.source_size", "_mix.target", (F.col("_mix.size") * F.col("_mix.copies")).alias("taken"))
 
@@ -53,6 +61,7 @@ OLD_SHARDS, NEW_SHARDS = 16, 24
 
 
 def op9_resharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """New shard and slot of every document by the law ``bytes``; a null text has 8 bytes, equal texts of an old shard stay together."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     old = F.pmod(F.xxhash64(F.coalesce("text", F.lit(""))), F.lit(OLD_SHARDS))
     placed = resharding.reshard(docs, old, [1] * NEW_SHARDS)
@@ -62,6 +71,7 @@ def op9_resharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every whole text, learnt from labels outside the held-out third; a null text is scored as empty."""
     docs = table(spark, sf_dir, "documents")
     return quality_crf.score_documents(docs, quality_crf.train(docs, table(spark, sf_dir, "labels")))
 
