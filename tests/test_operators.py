@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime
 import math
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -181,6 +182,17 @@ def test_stream_merge(spark, tmp_path):
     spark.createDataFrame([(2, "c"), (3, "d")], "k int, v string").write.mode("append").parquet(source)
     run()
     assert sorted(one(spark.read.parquet(f"{target}/version=1"))) == [(1, "a"), (2, "c"), (3, "d")]
+    spark.createDataFrame([(3, "e"), (3, "f")], "k int, v string").write.mode("append").parquet(source)
+    run()
+    assert sorted(one(spark.read.parquet(f"{target}/version=2"))) == [(1, "a"), (2, "c"), (3, "f")]
+    assert sorted(d for d in os.listdir(target) if d.startswith("version")) == ["version=1", "version=2"]
+
+
+def test_newest_by_key(spark):
+    rows = [(1, 5, "a"), (1, None, "z"), (1, 7, "b"), (1, 7, "c"), (2, None, None), (None, 1, "x"), (None, 1, "x")]
+    df = spark.createDataFrame(rows, "k int, t int, v string").repartition(3)
+    assert sorted(one(ingest.newest_by_key(df, ["k"], "t")), key=str) == [(1, 7, "c"), (2, None, None), (None, 1, "x"), (None, 1, "x")]
+    assert one(ingest.newest_by_key(df.limit(0), ["k"])) == []
 
 
 def test_gold_query_has_every_window(spark):
