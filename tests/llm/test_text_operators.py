@@ -184,6 +184,17 @@ def test_license_lines_of_documents(spark):
             assert tuple(r)[1:6] == brute_license(place.format(line))
 
 
+def test_further_licenses(spark):
+    lines = {
+        "Released under the ISC License": "isc", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted.": "isc",
+        "This is free and unencumbered software released into the public domain.": "unlicense", "CC0 1.0 Universal": "cc0", "Eclipse Public License - v 2.0": "epl",
+        "Distributed under the Boost Software License, Version 1.0.": "boost", "free software in the public domain": "", "permission to use this software is granted": "",
+    }
+    df = spark.createDataFrame([(i, f"some words\n{t}\nmore") for i, t in enumerate(lines)], "doc_id long, text string")
+    got = {r.doc_id: r.labels for r in license_scan.scan_licenses(df).collect()}
+    assert got == dict(enumerate(lines.values()))
+
+
 def test_license_lines_in_the_given_documents(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
     labels = {r.doc_id: r.labels.split(",") for r in license_scan.scan_licenses(docs).collect()}

@@ -48,6 +48,10 @@ NOTICES = {
     "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license": "gpl",
     "this source code form is subject to the terms of the mozilla public license v 2 0": "mpl-2",
     "all rights reserved no part of this publication may be reproduced": "all-rights-reserved",
+    "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted": "isc",
+    "this is free and unencumbered software released into the public domain": "unlicense",
+    "the person who associated a work with this deed has dedicated the work to the public domain": "cc0",
+    "this program and the accompanying materials are made available under the terms of the eclipse public license": "epl",
 }
 # Short wordings that name a license, and their labels; they count only where all their words stand.
 # A version or "license" follows where the name alone is also the start of another license's.
@@ -81,6 +85,12 @@ NAMES = {
     "mozilla public license v 2 0": "mpl-2",
     "mozilla public license version 2 0": "mpl-2",
     "all rights reserved": "all-rights-reserved",
+    "the isc license": "isc",
+    "under isc license": "isc",
+    "under the unlicense": "unlicense",
+    "cc0 1 0 universal": "cc0",
+    "eclipse public license": "epl",
+    "boost software license": "boost",
 }
 
 _KEEP = bytes(
