@@ -76,6 +76,42 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_crf.score_documents(docs, quality_crf.train(docs, table(spark, sf_dir, "labels")))
 
 
+OP2_SQL = r"""
+WITH RECURSIVE usable AS (
+  SELECT vec_id, label, embedding::DOUBLE[] AS v FROM embeddings
+  WHERE label IS NOT NULL AND len(embedding) > 0
+    AND list_bool_and(list_transform(embedding, lambda x: x IS NOT NULL AND isfinite(x::DOUBLE)))
+    AND list_bool_or(list_transform(embedding, lambda x: x <> 0))),
+links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM usable a JOIN usable b
+    ON a.label = b.label AND len(a.v) = len(b.v) AND a.vec_id <> b.vec_id
+  WHERE list_cosine_similarity(a.v, b.v) >= 0.93),
+reach(a, b) AS (SELECT a, b FROM links UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a),
+low AS (SELECT a, min(b) AS m FROM reach GROUP BY a),
+counts AS (SELECT a, count(*) AS n FROM links GROUP BY a)
+SELECT e.vec_id, coalesce(c.n, 0) AS n_links, least(e.vec_id, coalesce(m, e.vec_id)) AS component_id,
+       coalesce(e.vec_id <= coalesce(m, e.vec_id), false) AS kept
+FROM embeddings e LEFT JOIN low ON low.a = e.vec_id LEFT JOIN counts c ON c.a = e.vec_id
+"""
+
+OP6_SQL= r"""
+WITH RECURSIVE spoken AS (
+  SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+shingled AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 OR w IS NULL THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) END AS s FROM spoken),
+sets AS (SELECT list_sort(s) AS s, min(doc_id) AS rep FROM shingled WHERE len(s) > 0 GROUP BY 1),
+cells AS (SELECT rep, len(s) AS n, unnest(s) AS g FROM sets),
+links AS (
+  SELECT a.rep AS a, b.rep AS b FROM cells a JOIN cells b
+    ON a.g = b.g AND a.rep <> b.rep AND 4 * a.n >= 3 * b.n AND 4 * b.n >= 3 * a.n
+  GROUP BY a.rep, b.rep HAVING 100 * count(*) >= 75 * (any_value(a.n) + any_value(b.n) - count(*))),
+reach(a, b) AS (SELECT a, b FROM links UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a),
+low AS (SELECT a, min(b) AS m FROM reach GROUP BY a)
+SELECT d.doc_id, len(d.s) AS n_shingles, coalesce(least(t.rep, m), d.doc_id) AS component_id
+FROM shingled d LEFT JOIN sets t ON len(d.s) > 0 AND t.s = list_sort(d.s) LEFT JOIN low ON low.a = t.rep
+"""
+
 OP7_SQL = r"""
 WITH seen AS (
   SELECT page_id,
@@ -105,4 +141,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_quality_classifier": op10_quality_classifier,
 }
 
-ORACLE_SQL: dict[str, str] = {"op7_url_filters": OP7_SQL}
+ORACLE_SQL: dict[str, str] = {"op2_embedding_near_dedup": OP2_SQL, "op6_ngram_jaccard_join": OP6_SQL, "op7_url_filters": OP7_SQL}
