@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import random
 import re
+import zlib
 
 import numpy as np
 import pytest
@@ -219,6 +220,23 @@ def test_quality(spark):
     assert {r.score for r in quality_crf.score_documents(odd, untrained).collect()} == {0.5}
 
 
+def test_quality_sample_is_bounded(spark, monkeypatch):
+    rows = [(i, "good words of a text.\nand more of them." if i % 2 else "|||\n!!! | 1") for i in range(60)]
+    rows += [(1, None), (2, rows[2][1]), (4, "\n" * 5000), (None, "x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(60)] + [(1, 0), (None, 1), (3, None)], "doc_id long, quality int")
+    seen = []
+    fit = quality_crf.fit
+    monkeypatch.setattr(quality_crf, "fit", lambda f, c, y: seen.append((len(f), len(c), len(y))) or fit(f, c, y))
+    quality_crf.train(docs, labels)
+    quality_crf.train(docs, labels, sample_lines=31)
+    quality_crf.train(docs, labels, sample_docs=10)
+    free = sum(zlib.crc32(str(i).encode()) % 3 != 1 for i in range(60))
+    assert seen[0][1:] == (free, free)
+    assert seen[1][0] in (30, 31) and seen[1][1] in (15, 16)
+    assert seen[2][1:] == (10, 10)
+
+
 def test_forward_backward_against_enumeration():
     rng = np.random.default_rng(2)
     counts = np.array([1, 4, 2])

@@ -5,8 +5,9 @@ features and those of the lines around it, neighbouring labels are tied by
 transition potentials, and forward-backward gives each line's marginal.  The
 length-weighted mean of the marginals, calibrated, is the document's score.
 
-The field is fitted on at most ``SAMPLE_DOCS`` labelled documents (each line
-starts with its document's label); everything else covers all rows.
+The field is fitted on at most ``SAMPLE_DOCS`` labelled documents of at most
+``SAMPLE_LINES`` lines together (each line starts with its document's label);
+everything else covers all rows.
 """
 
 from __future__ import annotations
@@ -19,10 +20,12 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewatch.llm.common import small_batches
+from tidewatch.llm.common import drop, materialise, small_batches
 
 #: Labelled documents that the fit takes at most, the ones of smallest hash.
 SAMPLE_DOCS = 5000
+#: Lines that the fit takes at most; a document that would go beyond is left out.
+SAMPLE_LINES = 200_000
 #: Characters that are looked at together; bounds a worker's memory.
 CHUNK_CHARS = 1 << 18
 #: Bin edges of a feature, as quantiles over the sample's lines; the tails are finer.
@@ -237,18 +240,33 @@ def _calibrate(model: LineField, bins, counts, features, labels) -> None:
     model.scale = (float(a), float(b))
 
 
-def train(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS) -> LineField:
+def train(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS, sample_lines: int = SAMPLE_LINES) -> LineField:
     """Fit on the labelled documents whose crc32(doc_id as text) mod 3 is not 1.
 
-    At most ``sample_docs`` of them are taken: those of smallest hash of the id,
-    after one label (the smallest) is chosen for a repeated id.  Line features
-    are computed on the executors; only they reach the driver.
+    At most ``sample_docs`` of them are taken: those of smallest hash of the id.
+    A repeated id counts once, with its smallest label and the text of smallest
+    hash.  In the same order, documents are left out that would bring the
+    sample beyond ``sample_lines`` lines.  Line features are computed on the
+    executors; only they reach the driver.
     """
-    small_batches(docs.sparkSession)
+    spark = docs.sparkSession
+    small_batches(spark)
     usable = labels.where(F.col("doc_id").isNotNull() & F.col("quality").isin(0, 1) & ~held_out(F.col("doc_id")))
     chosen = usable.groupBy("doc_id").agg(F.min("quality").cast("int").alias("quality"))
     chosen = chosen.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_docs)
-    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(chosen), "doc_id")
+    texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(chosen), "doc_id")
+    one = texts.groupBy("doc_id", "quality").agg(F.min(F.struct(F.xxhash64("text").alias("hash"), "text")).alias("least"))
+    sample, path = materialise(one.select("doc_id", "quality", F.col("least.text").alias("text")), "labelled")
+    lines = (F.length("text") - F.length(F.translate("text", "\n", "")) + 1).alias("lines")
+    sizes = sample.select("doc_id", lines, F.xxhash64("doc_id").alias("hash")).collect()
+    kept, room = [], sample_lines
+    for row in sorted(sizes, key=lambda r: (r["hash"], r["doc_id"])):
+        if row["lines"] <= room:
+            kept.append(row["doc_id"])
+            room -= row["lines"]
+    if len(kept) < len(sizes):
+        few = spark.createDataFrame([(k,) for k in kept], sample.select("doc_id").schema)
+        sample = sample.join(F.broadcast(few), "doc_id", "left_semi")
 
     def featured(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -257,8 +275,9 @@ def train(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS) ->
                 split = np.split(features.astype(np.float32), np.cumsum(counts)[:-1])
                 yield pd.DataFrame({"doc_id": part["doc_id"].values, "quality": part["quality"].values, "features": [x.tobytes() for x in split]})
 
-    found = rows.mapInPandas(featured, "doc_id long, quality int, features binary").collect()
-    found = sorted(found, key=lambda r: (r["doc_id"], bytes(r["features"])))
+    found = sample.select("doc_id", "quality", "text").mapInPandas(featured, "doc_id long, quality int, features binary").collect()
+    drop(spark, path)
+    found = sorted(found, key=lambda r: r["doc_id"])
     parts = [np.frombuffer(r["features"], np.float32).reshape(-1, len(FEATURES)) for r in found]
     features = np.concatenate(parts).astype(float) if parts else np.zeros((0, len(FEATURES)))
     return fit(features, np.array([len(p) for p in parts], int), np.array([r["quality"] for r in found], int))
