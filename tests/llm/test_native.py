@@ -131,3 +131,16 @@ def test_components(spark):
     nodes = {x for a, b in pairs if a is not None and a != b for x in (a, b)}
     assert got == {x: find(x) for x in nodes}
     assert common.connected_components(spark.createDataFrame([], "a long, b long")).collect() == []
+
+
+def test_left_join_of_hot_keys(spark, monkeypatch):
+    rows = [(i, i % 7 if i % 3 else 100) for i in range(90)] + [(90, 55)]
+    table = [(k, k * 10) for k in (0, 1, 2, 3, 4, 100)]
+    a, b = spark.createDataFrame(rows, "id long, k long"), spark.createDataFrame(table, "k long, v long")
+    want = sorted((i, k, dict(table).get(k)) for i, k in rows)
+    key = lambda r: (r[0], r[1])
+    for shares in (1, 4, 12, 1000):
+        monkeypatch.setattr(common, "SHARES", shares)
+        got = common.left_join_hot(a, b, "k").select("id", "k", "v").collect()
+        assert sorted(map(tuple, got), key=key) == want
+    assert common.left_join_hot(a.limit(0), b, "k").collect() == []

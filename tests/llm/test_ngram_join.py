@@ -7,7 +7,7 @@ import re
 
 import numpy as np
 
-from tidewatch.llm import ngram_join
+from tidewatch.llm import common, ngram_join
 
 
 def shingle_set(text):
@@ -68,6 +68,7 @@ def test_against_brute_force(spark, monkeypatch):
     monkeypatch.setattr(ngram_join, "BROADCAST_BYTES", 0)
     monkeypatch.setattr(ngram_join, "TREE_ROWS", 8)
     monkeypatch.setattr(ngram_join, "SAMPLE", 1)
+    monkeypatch.setattr(common, "SHARES", 6)
     assert sorted((tuple(r) for r in ngram_join.join_documents(df).collect()), key=key) == want
 
 

@@ -77,6 +77,28 @@ def drop(spark: SparkSession, path: str) -> None:
     where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
+#: A key of more than one row in so many is hot; there are fewer such keys than that.
+SHARES = 1000
+
+
+def left_join_hot(rows: DataFrame, lookup: DataFrame, key: str) -> DataFrame:
+    """Left join of written tables on a key without nulls, of which ``lookup`` has one row each.
+
+    The rows of a hot key would meet in one task.  Whatever the input, fewer
+    than ``SHARES`` keys are hot, so their rows of ``lookup`` are broadcast;
+    the others are shuffled.
+    """
+    counts = rows.groupBy(key).agg(F.count(F.lit(1)).alias("_rows")).where(F.col("_rows") * SHARES > rows.count())
+    hot, path = materialise(counts.select(key), "hot", slim=True)
+    if hot.isEmpty():
+        drop(rows.sparkSession, path)
+        return rows.join(lookup, key, "left")
+    hot = F.broadcast(hot)
+    shuffled = rows.join(hot, key, "left_anti").join(lookup, key, "left")
+    met = rows.join(hot, key, "left_semi").join(F.broadcast(lookup.join(hot, key, "left_semi")), key, "left")
+    return shuffled.unionByName(met)
+
+
 def connected_components(edges: DataFrame, tag: str = "cc", max_rounds: int = 64) -> DataFrame:
     """Smallest reachable node of every node that has an edge.
 

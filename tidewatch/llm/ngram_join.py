@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewatch.llm.common import ARROW_ROWS, connected_components, drop, free_shuffles, materialise, small_batches
+from tidewatch.llm.common import ARROW_ROWS, connected_components, drop, free_shuffles, left_join_hot, materialise, small_batches
 
 WORDS = 5
 #: Two sets link when PERCENT of their union is shared.
@@ -732,10 +732,17 @@ def join_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     with _own_batches(docs.sparkSession):
         corpus = _Corpus(texts)
         component = _components(corpus)
-    named = corpus.named.join(component, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    lowest = named.where("n > 0").groupBy("component").agg(F.min("doc_id").alias("component_id"))
-    out = named.join(lowest, "component", "left").select(
-        "doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id")
-    )
+    # Nodes first, rows last: a component may have a third of the nodes, a node a third of the rows.
+    resolved = corpus.reps.join(component, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    resolved, resolved_path = materialise(resolved, "resolved")
+    lowest = resolved.groupBy("component").agg(F.min("doc_id").alias("lowest"), F.count(F.lit(1)).alias("nodes")).where("nodes > 1")
+    lowest, lowest_path = materialise(lowest.drop("nodes"), "lowest")
+    of_node = left_join_hot(resolved, lowest, "component").select("node", F.coalesce("lowest", "doc_id").alias("component_id"))
+    of_node, _ = materialise(of_node, "of-node")
+    for path in (resolved_path, lowest_path):
+        drop(docs.sparkSession, path)
+    filled = left_join_hot(corpus.named.where("n > 0"), of_node, "node").select("doc_id", "n", "component_id")
+    empty = corpus.named.where("n = 0").select("doc_id", "n", F.col("doc_id").alias("component_id"))
+    out = filled.unionByName(empty).withColumnRenamed("n", "n_shingles")
     corpus.close()
     return out
