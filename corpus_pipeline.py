@@ -1,7 +1,8 @@
 """The corpus pipeline: quality filter, near-duplicate removal, source mix, token ids.
 
 Each stage takes (spark, docs, sf_dir) and works on all that its predecessor
-kept; all but the last return the columns of ``documents``.
+kept; all but the last return the columns of ``documents``.  A stage begins by
+letting the executors give back the memory of the stages before it.
 """
 
 from __future__ import annotations
@@ -12,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewatch.llm import mixing, ngram_join, pieces, quality_crf
-from tidewatch.llm.common import drop, materialise, table
+from tidewatch.llm.common import drop, free_heaps, materialise, table
 from tidewatch.llm.queries import MIX_SHARE, MIX_WEIGHTS
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -26,6 +27,7 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     not returned.  The field is fitted on the labelled rows outside the
     held-out third; without any, every document scores one half and stays.
     """
+    free_heaps(spark)
     model = quality_crf.train(docs, table(spark, sf_dir, "labels"))
     score = quality_crf.scorer(model)
     return docs.select(*COLUMNS).withColumn("_score", score(F.col("text"))).where(F.col("_score") >= 0.5).drop("_score")
@@ -39,12 +41,14 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     that has one.  A null or empty text is like no other and stays.  An empty
     table gives an empty result.
     """
+    free_heaps(spark)
     rows = docs.select(*COLUMNS)
     ids = rows.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"))
     unclear, unclear_path = materialise(ids.where("n > 1 OR doc_id IS NULL").select(F.col("doc_id").alias("id"), F.lit(True).alias("unclear")), "unclear", slim=True)
     if unclear.isEmpty():
         drop(spark, unclear_path)
         joined = ngram_join.join_documents(rows)
+        free_heaps(spark)
         gone = joined.where(F.col("doc_id") != F.col("component_id")).select("doc_id")
         return rows.join(gone, "doc_id", "left_anti").select(*COLUMNS)
     marked = rows.join(unclear, F.col("doc_id").eqNullSafe(F.col("id")), "left").drop("id")
@@ -53,6 +57,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     number = F.lit(max(last or 0, 0) + 1) + F.monotonically_increasing_id()
     own, _ = materialise(marked.withColumn("number", F.when(F.col("unclear"), number).otherwise(F.col("doc_id"))).drop("unclear"), "numbered")
     joined = ngram_join.join_documents(own, "number")
+    free_heaps(spark)
     gone = joined.where(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("number"))
     return own.join(gone, "number", "left_anti").select(*COLUMNS)
 
@@ -63,6 +68,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     A null source is a source of its own; a null or empty text has no words and
     is not taken; rows that are equal are taken alike.
     """
+    free_heaps(spark)
     return mixing.repeat(mixing.mix(docs.select(*COLUMNS), MIX_WEIGHTS, MIX_SHARE)).select(*COLUMNS)
 
 
@@ -71,6 +77,7 @@ def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
     A null or empty text has no ids; null ids and repeated rows stay.
     """
+    free_heaps(spark)
     return pieces.encode_documents(docs, pieces.read_model())
 
 

@@ -233,3 +233,27 @@ def test_pipeline_on_hostile_rows(spark):
         assert stage(spark, docs.limit(0), DATA).collect() == []
     for _, stage in pipeline.STAGES[:-1]:
         assert stage(spark, docs, DATA).columns == pipeline.COLUMNS
+
+
+def test_stages_leave_executors_small(spark, monkeypatch):
+    import corpus_pipeline as pipeline
+    from tidewatch.llm import common
+
+    beans = spark._jvm.java.lang.management.ManagementFactory.getGarbageCollectorMXBeans
+    collections = lambda: sum(b.getCollectionCount() for b in beans() if "Old" in b.getName() or "MarkSweep" in b.getName())
+    monkeypatch.setattr(common, "free_shuffles", lambda spark: None)  # in local mode the driver is the executor
+    for _, stage in pipeline.STAGES:
+        before = collections()
+        stage(spark, spark.read.parquet(f"{DATA}/documents.parquet").limit(0), DATA)
+        assert collections() > before
+
+
+def test_a_mix_starts_no_python_workers(spark, monkeypatch):
+    docs = spark.createDataFrame([(i, "w " * (i % 7), "ab"[i % 2]) for i in range(60)], "doc_id long, text string, source string")
+    wanted = sorted(map(str, mixing.mix(docs, [5, 2], 1.3).collect()))
+
+    def parallelize(*args, **kwargs):
+        raise AssertionError("rows of the driver go through Python workers")
+
+    monkeypatch.setattr(spark.sparkContext, "parallelize", parallelize)
+    assert sorted(map(str, mixing.mix(docs, [5, 2], 1.3).collect())) == wanted

@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+import ctypes
 import re
 import uuid
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import DataType
 
 #: Used only where a local session names no ``spark.checkpoint.dir``.
 DEFAULT_SCRATCH = "/tmp/checkpoints"
@@ -70,6 +75,49 @@ def free_shuffles(spark: SparkSession) -> None:
     spark._jvm.System.gc()
 
 
+def free_heaps(spark: SparkSession) -> None:
+    """Let the executors give back the heap that ended stages have left.
+
+    A JVM keeps a heap that has once grown, beside the memory that Python
+    workers need.  A task for each core collects garbage, after which the JVM
+    returns what is free.
+    """
+    free_shuffles(spark)
+    n = spark.sparkContext.defaultParallelism
+    spark.range(0, n, 1, n).select(F.java_method(F.lit("java.lang.System"), F.lit("gc"))).collect()
+
+
+def trim() -> None:
+    """Give the memory that this Python worker has freed back to the system."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # not every C library has it
+        pass
+
+
+def trimmed(run: Callable) -> Callable:
+    """The function of a Python stage that leaves its worker small: workers wait for other stages and keep what they have taken."""
+
+    def trimming(batches: Iterator) -> Iterator:
+        try:
+            yield from run(batches)
+        finally:
+            trim()
+
+    return trimming
+
+
+def local_table(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
+    """A table of rows that the driver holds; structs in them are dicts.
+
+    It goes by Arrow: plain rows pass through Python workers of their own on
+    the executors, which stay for a minute.
+    """
+    kind = DataType.fromDDL(schema)
+    return spark.createDataFrame(pa.Table.from_pylist([dict(zip(kind.names, r, strict=True)) for r in rows], to_arrow_schema(kind)), kind)
+
+
 def drop(spark: SparkSession, path: str) -> None:
     """Delete a scratch table that no later plan reads."""
     jvm = spark._jvm

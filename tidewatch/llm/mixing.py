@@ -15,7 +15,7 @@ import json
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewatch.llm.common import drop, materialise
+from tidewatch.llm.common import drop, local_table, materialise
 
 #: Parts of a pattern's seeded order whose sizes are summed on the executors and seen by the driver.
 SLICES = 256
@@ -183,7 +183,7 @@ def cut_points(sized: DataFrame, extra: dict[str, int]) -> list[tuple[str, int,
             if not active:
                 break
             step = SLICES**level
-            table = spark.createDataFrame(active, "pattern string, lo long, hi long, longest long")  # a row for each pattern
+            table = local_table(spark, active, "pattern string, lo long, hi long, longest long")  # a row for each pattern
             if len(active) * PLAN_BYTES <= BROADCAST_BYTES:
                 table = F.broadcast(table)
             inside = sized.join(table, "pattern").where("_hash >= lo AND _hash < hi AND size <= longest")
@@ -245,13 +245,15 @@ def mix(
     target = quotas(order, weights, share * whole / listed if listed else share, most)
     take = plan(size, target, most)
     extra = {p: take[name] % size[name] if size[name] else 0 for p, name in of.items()}
-    ranges: dict[str, list[tuple[int, int, int]]] = {}
-    for p, *r in cut_points(sized, extra):
-        ranges.setdefault(p, []).append(tuple(r))
+    ranges: dict[str, list[dict[str, int]]] = {}
+    for p, start, cut, longest in cut_points(sized, extra):
+        ranges.setdefault(p, []).append({"start": start, "cut": cut, "longest": longest})
     drop(spark, path)
 
-    table = spark.createDataFrame(
-        [(p, (take[name] // size[name] if size[name] else 0, ranges.get(p, []), by_source[name[0]], target[name[0]])) for p, name in of.items()],
+    plans = {p: {"rounds": take[name] // size[name] if size[name] else 0, "ranges": ranges.get(p, []), "source_size": by_source[name[0]], "target": target[name[0]]} for p, name in of.items()}
+    table = local_table(
+        spark,
+        list(plans.items()),
         f"{own}k string, {own}p struct<rounds: long, ranges: array<struct<start: long, cut: long, longest: long>>, source_size: long, target: double>",
     )  # a row for each pattern
     if len(of) * PLAN_BYTES <= BROADCAST_BYTES:

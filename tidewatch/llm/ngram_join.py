@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewatch.llm.common import ARROW_ROWS, connected_components, drop, free_shuffles, left_join_hot, materialise, small_batches
+from tidewatch.llm.common import ARROW_ROWS, connected_components, drop, free_shuffles, left_join_hot, materialise, small_batches, trimmed
 
 WORDS = 5
 #: Two sets link when PERCENT of their union is shared.
@@ -480,7 +480,7 @@ def _plausible(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
 
     a = nodes.select(F.col("node").alias("a"), "n", F.col("bits").alias("x"))
     b = nodes.select(F.col("node").alias("b"), F.col("n").alias("m"), F.col("bits").alias("y"))
-    return pairs.select("a", "b").distinct().join(a, "a").join(b, "b").mapInPandas(check, "a long, b long")
+    return pairs.select("a", "b").distinct().join(a, "a").join(b, "b").mapInPandas(trimmed(check), "a long, b long")
 
 
 def _small(df: DataFrame, bytes_a_row: int) -> DataFrame:
@@ -494,7 +494,7 @@ def _frequent(texts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     ``KNOWN`` at most, whatever the number of documents.
     """
     sample = texts.where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(SAMPLE)) == 0).select("text")
-    tokens = sample.mapInArrow(_sets(frozenset(), 64), "node long, tokens array<long>").select(F.explode("tokens").alias("token"))
+    tokens = sample.mapInArrow(trimmed(_sets(frozenset(), 64)), "node long, tokens array<long>").select(F.explode("tokens").alias("token"))
     top = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("c")).where(F.col("c") >= FREQUENT).orderBy(F.desc("c"), "token").limit(KNOWN)
     found = top.toArrow()
     token, count = found.column("token").to_numpy().view(np.uint64), found.column("c").to_numpy()
@@ -509,7 +509,7 @@ class _Corpus:
 
     def __init__(self, texts: DataFrame):
         self.texts, self.spark = texts, texts.sparkSession
-        signed = texts.mapInArrow(_signatures(NODE_BITS), "doc_id long, n long, one long, two long, bits binary")
+        signed = texts.mapInArrow(trimmed(_signatures(NODE_BITS)), "doc_id long, n long, one long, two long, bits binary")
         self.signed, self.path = materialise(signed, "signatures")
         self.filled = self.signed.where("n > 0")
         # Sets are equal by 128 bits: of those that share the first 64, each goes by the other 64.
@@ -523,7 +523,7 @@ class _Corpus:
         return F.when(F.col("one").isin(*self.clashes), F.col("two")).otherwise(F.col("one")) if self.clashes else F.col("one")
 
     def prefixes(self, shared) -> DataFrame:
-        return self.texts.select("text").mapInArrow(_prefix_rows(shared, self.clashes, NODE_BITS), "token long, node long, place long")
+        return self.texts.select("text").mapInArrow(trimmed(_prefix_rows(shared, self.clashes, NODE_BITS)), "token long, node long, place long")
 
     def bitmaps(self, involved: DataFrame) -> DataFrame:
         """Size and bitmap of each node of ``involved`` (a written table)."""
@@ -538,7 +538,7 @@ class _Corpus:
         wanted, wanted_path = materialise(self.reps.join(_small(involved, 24), "node", "left_semi").select("doc_id").distinct(), "wanted", slim=True)
         wanted = wanted.select(F.col("doc_id").alias("wanted"))
         picked = self.texts.join(_small(wanted, 24), F.col("doc_id").eqNullSafe(F.col("wanted")), "left_semi").select("text")
-        sets = picked.mapInArrow(_sets(self.clashes, NODE_BITS), "node long, tokens array<long>").join(_small(involved, 24), "node", "left_semi")
+        sets = picked.mapInArrow(trimmed(_sets(self.clashes, NODE_BITS)), "node long, tokens array<long>").join(_small(involved, 24), "node", "left_semi")
         found, path = materialise(sets, "sets")
         if found.count() > found.select("node").distinct().count():  # rows of one id, or without one
             first, first_path = found, path
@@ -670,7 +670,7 @@ def _components(corpus: _Corpus) -> DataFrame:
     free_shuffles(spark)
     dealt = F.when(F.col("place").bitwiseAND(F.lit(1)) == 1, F.xxhash64("token", "node")).otherwise(F.col("token"))
     tokens = corpus.prefixes(shared).repartition(dealt).sortWithinPartitions("token", "place", "node")
-    found, found_path = materialise(tokens.mapInArrow(_shared_rows, "token long, node long, n long, short boolean, c long"), "shared")
+    found, found_path = materialise(tokens.mapInArrow(trimmed(_shared_rows), "token long, node long, n long, short boolean, c long"), "shared")
     free_shuffles(spark)
     shared.destroy()
     rows, rows_path = _hubs(found)

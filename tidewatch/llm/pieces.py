@@ -21,7 +21,7 @@ import pyarrow.compute
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewatch.llm.common import small_batches
+from tidewatch.llm.common import small_batches, trimmed
 
 #: The public model that the queries encode with.
 MODEL_PATH = "/opt/tokenizers/piece_bpe_32k.model"
@@ -374,10 +374,11 @@ def encode_documents(docs: DataFrame, data: bytes, id_col: str = "doc_id", text_
                 offsets = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
                 ids = pa.ListArray.from_arrays(offsets, np.concatenate(each))
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(counts), ids, pa.array(same)], names=["doc_id", "n_tokens", "ids", "round_trip"])
+        del coder
         _BUILT.clear()  # the worker may serve other stages next, which need its memory
 
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    return rows.mapInArrow(run, "doc_id long, n_tokens long, ids array<int>, round_trip boolean")
+    return rows.mapInArrow(trimmed(run), "doc_id long, n_tokens long, ids array<int>, round_trip boolean")
 
 
 def _same(coder: Automaton, text: str, decoded: str) -> bool:

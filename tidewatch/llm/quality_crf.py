@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewatch.llm.common import drop, materialise, small_batches
+from tidewatch.llm.common import drop, materialise, small_batches, trim, trimmed
 
 #: Labelled documents that the fit takes at most, the ones of smallest hash.
 SAMPLE_DOCS = 5000
@@ -275,7 +275,7 @@ def train(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS, sa
                 split = np.split(features.astype(np.float32), np.cumsum(counts)[:-1])
                 yield pd.DataFrame({"doc_id": part["doc_id"].values, "quality": part["quality"].values, "features": [x.tobytes() for x in split]})
 
-    found = sample.select("doc_id", "quality", "text").mapInPandas(featured, "doc_id long, quality int, features binary").collect()
+    found = sample.select("doc_id", "quality", "text").mapInPandas(trimmed(featured), "doc_id long, quality int, features binary").collect()
     drop(spark, path)
     found = sorted(found, key=lambda r: r["doc_id"])
     parts = [np.frombuffer(r["features"], np.float32).reshape(-1, len(FEATURES)) for r in found]
@@ -303,6 +303,7 @@ def scorer(model: LineField):
             frame = pd.DataFrame({"text": batch.fillna("").values})
             parts = [model.scores(part["text"].tolist()) for part in _chunks(frame)]
             yield pd.Series(np.concatenate(parts) if parts else np.zeros(0))
+        trim()
 
     return score
 
