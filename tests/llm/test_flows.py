@@ -235,6 +235,42 @@ def test_pipeline_on_hostile_rows(spark):
         assert stage(spark, docs, DATA).columns == pipeline.COLUMNS
 
 
+def test_shard_files_are_written(spark, tmp_path, monkeypatch):
+    rng = random.Random(9)
+    rows = [(i, "t" * rng.randint(0, 90) + str(i)) for i in range(400)] + [(None, "null id")] * 3 + [(7, "again"), (500, None), (501, "")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    old = F.pmod(F.xxhash64(F.coalesce("text", F.lit(""))), F.lit(4))
+    columns = ["doc_id", "size", "text_crc32", "old_shard", "shard", "slot", "rewritten"]
+    key = lambda found: sorted(map(str, found.select(*columns).collect()))
+    path = str(tmp_path / "all")
+    got = resharding.write_shards(df, old, [1] * 6, path)
+    assert key(got) == key(resharding.reshard(df, old, [1] * 6))
+    files = spark.read.parquet(path).collect()
+    assert sorted((str(r.doc_id), str(r.text)) for r in files) == sorted((str(a), str(b)) for a, b in rows)
+    assert len({(r.shard, r.slot) for r in files}) == len(rows) and {r.shard for r in files} == set(range(6))
+    # Of five old shards the last one loses all to the first; those of the right size stay untouched.
+    even = spark.createDataFrame([(i, "x" * 92 + str(i % 10)) for i in range(40)], "doc_id long, text string")
+    at = F.when(F.col("doc_id") < 5, F.lit(4)).otherwise((F.col("doc_id") / 10).cast("int"))
+    for n, (weights, homes) in enumerate((([1, 2, 2, 2, 1], set()), ([2, 2, 2, 2], {0}))):
+        path = str(tmp_path / f"some{n}")
+        got = resharding.write_shards(even, at, weights, path)
+        assert key(got) == key(resharding.reshard(even, at, weights)) and got.count() == 40
+        stored = spark.read.schema("doc_id long, shard int").parquet(path).collect()
+        assert {r.shard for r in stored} == homes and len(stored) == 10 * len(homes)
+    assert resharding.write_shards(even.limit(0), at, [1, 1], str(tmp_path / "none")).collect() == []
+    # The query's rows come from the files.
+    seen: list[str] = []
+    real = resharding.write_shards
+    monkeypatch.setattr(resharding, "write_shards", lambda *a, **k: (seen.append(a[3]), real(*a, **k))[1])
+    digest = queries.op9_resharding(spark, DATA)
+    stored = spark.read.parquet(seen[0]).collect()
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{DATA}/documents.parquet").collect()}
+    assert stored and all(texts[r.doc_id] == r.text for r in stored)
+    found = digest.collect()
+    assert sorted(r.doc_id for r in found) == sorted(texts)
+    assert sorted((r.doc_id, r.shard, r.slot) for r in stored) == sorted((r.doc_id, r.shard, r.slot) for r in found if r.rewritten)
+
+
 def test_stages_leave_executors_small(spark, monkeypatch):
     import corpus_pipeline as pipeline
     from tidewatch.llm import common

@@ -30,6 +30,11 @@ def scratch_dir(spark: SparkSession) -> str:
     return named or DEFAULT_SCRATCH
 
 
+def scratch_path(spark: SparkSession, tag: str) -> str:
+    """A new path in the folder that the driver and all executors share."""
+    return f"{scratch_dir(spark)}/tidewatch-{tag}-{uuid.uuid4().hex}"
+
+
 #: A slim table is written by one task for so many shuffle partitions.
 SLIM = 8
 
@@ -44,7 +49,7 @@ def materialise(df: DataFrame, tag: str = "t", slim: bool = False) -> tuple[Data
     spark = df.sparkSession
     if slim:
         df = df.coalesce(-(-int(spark.conf.get("spark.sql.shuffle.partitions")) // SLIM))
-    path = f"{scratch_dir(spark)}/tidewatch-{tag}-{uuid.uuid4().hex}"
+    path = scratch_path(spark, tag)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path), path
 

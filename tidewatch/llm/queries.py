@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewatch.llm import embedding_dedup, fingerprint, html_field, license_scan, mixing, ngram_join, pieces, quality_crf, resharding, url_filter
-from tidewatch.llm.common import table
+from tidewatch.llm.common import scratch_path, table
 
 URL_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
 
@@ -61,10 +61,10 @@ OLD_SHARDS, NEW_SHARDS = 16, 24
 
 
 def op9_resharding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """New shard and slot of every document by the law ``bytes``; a null text has 8 bytes, equal texts of an old shard stay together."""
+    """New shard and slot of every document by the law ``bytes``, from the shard files written; a null text has 8 bytes, equal texts of an old shard stay together."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     old = F.pmod(F.xxhash64(F.coalesce("text", F.lit(""))), F.lit(OLD_SHARDS))
-    placed = resharding.reshard(docs, old, [1] * NEW_SHARDS)
+    placed = resharding.write_shards(docs, old, [1] * NEW_SHARDS, scratch_path(spark, "shards"))
     return placed.select(
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "old_shard", "rewritten"
     )

@@ -4,7 +4,7 @@ The sizes of the old shards and the capacities of the new ones make a flow
 problem in which a byte that stays in its shard costs nothing and a byte that
 moves costs one.  The cheapest flow says how many bytes go from each old shard
 to each new one; blocks of documents realise it, and only the files of shards
-that gain or lose blocks are rewritten.
+that gain or lose blocks are rewritten (:func:`write_shards`).
 """
 
 from __future__ import annotations
@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidewatch.llm.common import materialise
+from tidewatch.llm.common import local_table, materialise
 from tidewatch.llm.mixing import min_cost_flow
 
 #: Blocks of an old shard, by a hash of the text: equal texts share a block.
@@ -25,6 +25,10 @@ PARTS = 512
 GIANT, PIECES = 0.9, 256
 
 
+#: Rows of a shard that one task writes, by their slots; a unit goes to one file.
+FILE_ROWS = 1 << 16
+#: What names a unit.
+UNIT = ["old", "block", "part", "piece"]
 #: Places in a unit.
 BYTES, ROWS = 4, 5
 
@@ -110,56 +114,106 @@ def reshard(docs: DataFrame, old_shard: Column, weights: list[int], id_col: str
     counts as empty, a null id as an id; identical rows get slots of their own;
     an empty table gives an empty result.
     """
+    place = _plan(docs, old_shard, weights, id_col, text_col)
+    return place(place.rows).selectExpr(*PLACED)
+
+
+PLACED = ["doc_id", "size", "text_crc32", "old AS old_shard", "shard", "slot", "rewritten"]
+
+
+def write_shards(docs: DataFrame, old_shard: Column, weights: list[int], path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Reshard as :func:`reshard` does and write the files of the shards that gain or lose documents.
+
+    ``path`` gets a folder ``shard=<n>`` for each of them, with ``doc_id``,
+    ``text``, ``old_shard`` and ``slot`` of all its documents; the others stay
+    where they are.  Returns the columns of :func:`reshard`, read from the
+    files as far as they were written.  Ids may be null or repeated: rows are
+    written as they come and meet no other table by their ids.
+    """
     spark = docs.sparkSession
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    rows = docs.select(
-        F.col(id_col).alias("doc_id"),
-        document_size(F.col(text_col)).alias("size"),
-        F.crc32(text.cast("binary")).alias("text_crc32"),
-        old_shard.cast("int").alias("old"),
-        F.pmod(F.xxhash64(F.lit(17), text), F.lit(BLOCKS)).cast("int").alias("block"),
-        F.xxhash64(F.lit(19), text).alias("same"),
-    )
-    rows, _ = materialise(rows, "reshard")
-    sums = [F.sum("size").alias("size"), F.count(F.lit(1)).alias("n")]
-    # At most BLOCKS rows for each old shard, whatever the number of documents.
-    blocks = rows.groupBy("old", "block").agg(*sums).collect()
-    total = sum(b["size"] for b in blocks)
-    capacity = _shares(total, weights)
-    giant = GIANT * min(capacity.values())
-    heavy = {(b["old"], b["block"]) for b in blocks if b["size"] > HEAVY * total / len(weights)}
-    cut = F.broadcast(spark.createDataFrame(sorted(heavy), "old int, block int"))
-    dealt = rows.join(cut.withColumn("cut", F.lit(True)), ["old", "block"], "left")
-    dealt = dealt.withColumn("part", F.when(F.col("cut"), F.pmod("same", F.lit(PARTS)).cast("int")).otherwise(F.lit(0))).drop("cut")
-    parts = dealt.join(cut, ["old", "block"], "left_semi").groupBy("old", "block", "part").agg(*sums).collect()
-    # Of the parts that are larger than a shard, the texts that are: fewer than there are shards, about.
-    large = [(p["old"], p["block"], p["part"]) for p in parts if p["size"] > giant]
-    within = dealt.join(F.broadcast(spark.createDataFrame(large, "old int, block int, part int")), ["old", "block", "part"], "left_semi")
-    same = within.groupBy("old", "block", "part", "same").agg(*sums).where(F.col("size") > giant).select("old", "block", "part", "same").collect()
-    split = F.broadcast(spark.createDataFrame([tuple(r) for r in same], "old int, block int, part int, same long"))
-    piece = F.pmod(F.xxhash64(F.lit(29), "doc_id"), F.lit(PIECES)).cast("int")
-    dealt = dealt.join(split.withColumn("split", F.lit(True)), ["old", "block", "part", "same"], "left")
-    dealt = dealt.withColumn("piece", F.when(F.col("split"), piece).otherwise(F.lit(-1))).drop("split")
-    broken = {(r["old"], r["block"], r["part"]) for r in same}
-    pieces = []
-    if broken:
-        of = F.broadcast(spark.createDataFrame(sorted(broken), "old int, block int, part int"))
-        pieces = dealt.join(of, ["old", "block", "part"], "left_semi").groupBy("old", "block", "part", "piece").agg(*sums).collect()
-    units = [(b["old"], b["block"], 0, -1, b["size"], b["n"]) for b in blocks if (b["old"], b["block"]) not in heavy]
-    units += [(p["old"], p["block"], p["part"], -1, p["size"], p["n"]) for p in parts if (p["old"], p["block"], p["part"]) not in broken]
-    units += [(p["old"], p["block"], p["part"], p["piece"], p["size"], p["n"]) for p in pieces]
-    old: dict[int, int] = {}
-    for u in units:
-        old[u[0]] = old.get(u[0], 0) + u[BYTES]
-    where = assign(units, transfers(old, capacity), capacity)
-    touched = {s for u in where if u[0] != u[4] for s in (u[0], u[4])}
-    placed = spark.createDataFrame([(*u, u[4] in touched) for u in where], "old int, block int, part int, piece int, shard int, first long, rewritten boolean")
-    order = Window.partitionBy("old", "block", "part", "piece").orderBy("doc_id", "text_crc32", "size")
-    return (
-        dealt.join(F.broadcast(placed), ["old", "block", "part", "piece"])
-        .withColumn("slot", F.col("first") + F.row_number().over(order) - 1)
-        .select("doc_id", "size", "text_crc32", F.col("old").alias("old_shard"), "shard", "slot", "rewritten")
-    )
+    place = _plan(docs, old_shard, weights, id_col, text_col)
+    # The texts are dealt once, by unit, so that a task has whole units and a shard few files.
+    texts = place(place.keyed(F.col(text_col).alias("text")), dealt_by=[F.col("shard"), F.floor(F.col("first") / FILE_ROWS)], only="rewritten")
+    texts.select("doc_id", "text", F.col("old").alias("old_shard"), "slot", "shard").write.partitionBy("shard").parquet(path)
+    written = spark.read.schema("doc_id {}, text string, old_shard int, slot long, shard int".format(docs.schema[id_col].dataType.simpleString())).parquet(path)
+    text = F.coalesce("text", F.lit(""))
+    found = written.select("doc_id", document_size(F.col("text")).alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"), "old_shard", "shard", "slot", F.lit(True).alias("rewritten"))
+    if place.untouched:
+        found = found.unionByName(place(place.rows, only="NOT rewritten").selectExpr(*PLACED))
+    return found
+
+
+class _plan:
+    """Where each document goes: the flow between the shards and the units that realise it.
+
+    ``rows`` is a table of what :meth:`keyed` tells of each document; a call
+    adds ``shard``, ``slot`` and ``rewritten`` to such rows.
+    """
+
+    def __init__(self, docs: DataFrame, old_shard: Column, weights: list[int], id_col: str, text_col: str):
+        self.docs, self.old_shard, self.id_col, self.text_col = docs, old_shard, id_col, text_col
+        spark = docs.sparkSession
+        self.rows, _ = materialise(self.keyed(), "reshard")
+        sums = [F.sum("size").alias("size"), F.count(F.lit(1)).alias("n")]
+        # At most BLOCKS rows for each old shard, whatever the number of documents.
+        blocks = self.rows.groupBy("old", "block").agg(*sums).collect()
+        total = sum(b["size"] for b in blocks)
+        capacity = _shares(total, weights)
+        giant = GIANT * min(capacity.values())
+        heavy = {(b["old"], b["block"]) for b in blocks if b["size"] > HEAVY * total / len(weights)}
+        self.cut = F.broadcast(local_table(spark, sorted(heavy), "old int, block int"))
+        dealt = self._parts(self.rows)
+        parts = dealt.join(self.cut, ["old", "block"], "left_semi").groupBy("old", "block", "part").agg(*sums).collect()
+        # Of the parts that are larger than a shard, the texts that are: fewer than there are shards, about.
+        large = [(p["old"], p["block"], p["part"]) for p in parts if p["size"] > giant]
+        within = dealt.join(F.broadcast(local_table(spark, large, "old int, block int, part int")), ["old", "block", "part"], "left_semi")
+        same = within.groupBy("old", "block", "part", "same").agg(*sums).where(F.col("size") > giant).select("old", "block", "part", "same").collect()
+        self.split = F.broadcast(local_table(spark, [tuple(r) for r in same], "old int, block int, part int, same long"))
+        broken = {(r["old"], r["block"], r["part"]) for r in same}
+        pieces = []
+        if broken:
+            of = F.broadcast(local_table(spark, sorted(broken), "old int, block int, part int"))
+            pieces = self._pieces(dealt).join(of, ["old", "block", "part"], "left_semi").groupBy(*UNIT).agg(*sums).collect()
+        units = [(b["old"], b["block"], 0, -1, b["size"], b["n"]) for b in blocks if (b["old"], b["block"]) not in heavy]
+        units += [(p["old"], p["block"], p["part"], -1, p["size"], p["n"]) for p in parts if (p["old"], p["block"], p["part"]) not in broken]
+        units += [(p["old"], p["block"], p["part"], p["piece"], p["size"], p["n"]) for p in pieces]
+        old: dict[int, int] = {}
+        for u in units:
+            old[u[0]] = old.get(u[0], 0) + u[BYTES]
+        where = assign(units, transfers(old, capacity), capacity)
+        touched = {s for u in where if u[0] != u[4] for s in (u[0], u[4])}
+        self.untouched = {u[4] for u in where} - touched
+        self.placed = F.broadcast(local_table(spark, [(*u, u[4] in touched) for u in where], "old int, block int, part int, piece int, shard int, first long, rewritten boolean"))
+
+    def keyed(self, *more: Column) -> DataFrame:
+        text = F.coalesce(F.col(self.text_col), F.lit(""))
+        return self.docs.select(
+            F.col(self.id_col).alias("doc_id"),
+            document_size(F.col(self.text_col)).alias("size"),
+            F.crc32(text.cast("binary")).alias("text_crc32"),
+            self.old_shard.cast("int").alias("old"),
+            F.pmod(F.xxhash64(F.lit(17), text), F.lit(BLOCKS)).cast("int").alias("block"),
+            F.xxhash64(F.lit(19), text).alias("same"),
+            *more,
+        )
+
+    def _parts(self, rows: DataFrame) -> DataFrame:
+        dealt = rows.join(self.cut.withColumn("cut", F.lit(True)), ["old", "block"], "left")
+        return dealt.withColumn("part", F.when(F.col("cut"), F.pmod("same", F.lit(PARTS)).cast("int")).otherwise(F.lit(0))).drop("cut")
+
+    def _pieces(self, dealt: DataFrame) -> DataFrame:
+        piece = F.pmod(F.xxhash64(F.lit(29), "doc_id"), F.lit(PIECES)).cast("int")
+        dealt = dealt.join(self.split.withColumn("split", F.lit(True)), ["old", "block", "part", "same"], "left")
+        return dealt.withColumn("piece", F.when(F.col("split"), piece).otherwise(F.lit(-1))).drop("split")
+
+    def __call__(self, rows: DataFrame, dealt_by: list[Column] | None = None, only: str = "TRUE") -> DataFrame:
+        found = self._pieces(self._parts(rows)).join(self.placed, UNIT).where(only)
+        by = list(UNIT)
+        if dealt_by:
+            found = found.withColumns({"_a": dealt_by[0], "_b": dealt_by[1]}).repartition("_a", "_b")
+            by = ["_a", "_b", *UNIT]
+        order = Window.partitionBy(*by).orderBy("doc_id", "text_crc32", "size")
+        return found.withColumn("slot", F.col("first") + F.row_number().over(order) - 1)
 
 
 def _shares(total: int, weights: list[int]) -> dict[int, int]:
